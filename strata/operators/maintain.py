@@ -14,7 +14,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark import StorageLevel
 
 from strata.session import ensure_checkpoint_dir
 
@@ -22,33 +22,47 @@ _LOW_BITS = 33  # monotonically_increasing_id: partition index in the high bits,
 
 
 # O-39: surrogate ids -------------------------------------------------------------------------------
+# Key sets up to this many rows are numbered by one ordered window (one task); larger ones in parallel.
+SMALL_KEYS_MAX_ROWS = 100_000
+
+
+def reliable_checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage (persisted first so the
+    plan is computed once, not once for the count and again for the write)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    fixed = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return fixed
+
+
 def assign_ids(keys: DataFrame, key_cols: list[str], id_col: str, base: int = 0,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, small_max_rows: int = SMALL_KEYS_MAX_ROWS) -> DataFrame:
     """Number distinct ``keys`` rows base+1, base+2, ... in natural-key order (NULLs first).
 
-    No global window (that would plan ``Exchange SinglePartition`` over all keys): the keys are
-    range-partitioned and sorted inside each partition, the position inside the partition is taken
-    from ``monotonically_increasing_id`` and fixed by a reliable checkpoint (so a lost executor cannot
-    renumber rows), and each partition's offset comes from its row count (one number per partition).
+    * At most ``small_max_rows`` keys (counted): ``row_number()`` over the key order. The keys are
+      distinct, so the order is total and a recomputation gives the same ids.
+    * More: no global window (that would plan ``Exchange SinglePartition`` over all keys). The keys
+      are range-partitioned and sorted inside each partition, the position inside the partition is
+      taken from ``monotonically_increasing_id`` and fixed by a reliable checkpoint (so a lost
+      executor cannot renumber rows), and each partition's offset comes from its row count (one
+      number per partition, broadcast back: the bound is the partition count).
     """
     spark = keys.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in key_cols]
-    ranged = (keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    if keys.limit(small_max_rows + 1).count() <= small_max_rows:
+        rn = F.row_number().over(Window.orderBy(*order))
+        return keys.select((F.lit(base) + rn).cast("int").alias(id_col), *keys.columns)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = reliable_checkpoint(keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                                 .withColumn("__mid", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("__mid"), _LOW_BITS)
     local = F.col("__mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    # one row per partition: bounded by n, collected as n small integers
     counts = sorted((r["p"], r["c"]) for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect())
     offsets, running = [], 0
     for p, c in counts:
         offsets.append((int(p), running))
         running += int(c)
-    if not offsets:
-        empty = T.StructType([T.StructField(id_col, T.IntegerType(), True), *keys.schema.fields])
-        return spark.createDataFrame([], empty)
     off_df = F.broadcast(spark.createDataFrame(offsets, "p long, off long"))
     numbered = ranged.join(off_df, part == off_df["p"], "inner")
     new_id = (F.lit(base) + F.col("off") + local + F.lit(1)).cast("int")
@@ -176,3 +190,21 @@ def replace_day(target: DataFrame, batch: DataFrame, day_of: Column, day: dt.dat
     d = F.lit(str(day)).cast("date")
     kept = target.where(~F.coalesce(day_of == d, F.lit(False)))
     return kept.unionByName(batch)
+
+
+def replace_days(target: DataFrame, batch: DataFrame, day_of: Column, file_day: Column, days: list) -> DataFrame:
+    """``replace_day`` for several day files at once, equal to running them one by one in day order.
+
+    ``batch`` holds the rows of every file, ``file_day`` names the file a row came from and ``days``
+    the files that are not empty (an empty file is skipped, so its day is not deleted). Sequentially,
+    a row appended by file f survives unless a *later* file deletes its date; so the result is the
+    target without rows dated in ``days``, plus each file row unless its date is in ``days`` and
+    after its file's day.
+    """
+    ds = [F.lit(str(d)).cast("date") for d in days]
+    if not ds:
+        return target
+    in_days = F.coalesce(day_of.isin(ds), F.lit(False))
+    kept = target.where(~in_days)
+    from_files = batch.where(file_day.isin(ds)).where(~(in_days & F.coalesce(day_of > file_day, F.lit(False))))
+    return kept.unionByName(from_files.select(*target.columns))

@@ -29,10 +29,11 @@ def stamp(now: dt.datetime | None) -> Column:
 
 
 # O-07 / O-05: feed -> STG ------------------------------------------------------------------------
-def stg_from_feed(feed: DataFrame, now: dt.datetime | None = None) -> DataFrame:
-    """Rename camelCase feed columns to snake_case and stamp ``loaded_at`` (its default)."""
+def stg_from_feed(feed: DataFrame, now: dt.datetime | None = None, extra: list[str] = ()) -> DataFrame:
+    """Rename camelCase feed columns to snake_case and stamp ``loaded_at`` (its default); ``extra``
+    columns are carried along unchanged."""
     cols = [F.col(src).alias(C.FEED_TO_STG.get(src, src)) for src in C.FEED_COLUMNS]
-    return feed.select(stamp(now).alias("loaded_at"), *cols)
+    return feed.select(stamp(now).alias("loaded_at"), *cols, *extra)
 
 
 # O-08..O-13: STG -> typed ODS rows ---------------------------------------------------------------
@@ -89,8 +90,15 @@ class Star:
         return replace(self, **kw)
 
 
+def empty_frame(spark: SparkSession, schema) -> DataFrame:
+    """An empty relation the optimizer knows is empty (``WHERE false`` on one row becomes an empty
+    LocalRelation), so joins against it are simplified away."""
+    cols = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*cols).where(F.lit(False))
+
+
 def empty(spark: SparkSession, c: C.Contract) -> DataFrame:
-    return spark.createDataFrame([], c.schema)
+    return empty_frame(spark, c.schema)
 
 
 def empty_star(spark: SparkSession) -> Star:

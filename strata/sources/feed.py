@@ -15,26 +15,41 @@ RAW_PARTITION = "load_date"
 
 
 # O-01 -------------------------------------------------------------------------------------------
-def read_feed(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA) -> DataFrame:
-    """Read landed CSV event files: header row, RFC-4180 quoting (a quote inside a quoted field is
-    doubled), unquoted empty field = NULL, quoted empty field = ''. Every field is read as text so the
-    RAW layer has one schema forever; a malformed row fails the read instead of being dropped."""
+# Unquoted empty field -> NULL, quoted empty field ("") -> ''. Spark maps a parsed value equal to
+# ``nullValue`` to NULL; the parser hands unquoted empties over as ``nullValue`` and quoted ones as
+# ``emptyValue``, so a nullValue that never occurs in text keeps the two apart.
+_NEVER_IN_TEXT = "\u0000"
+
+
+def feed_reader(spark: SparkSession, schema: T.StructType = FEED_SCHEMA):
+    """CSV reader of landed feed files: header row, RFC-4180 quoting (a quote inside a quoted field is
+    doubled, fields may hold newlines), every field as text, a malformed row fails the read."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)  # header names must match the contract
-        .option("multiLine", True)  # quoted fields may hold newlines
+        .option("multiLine", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", _NEVER_IN_TEXT)
+        .option("emptyValue", "")
         .option("mode", "FAILFAST")
-        .csv(path)
     )
 
 
-def write_feed(df: DataFrame, path: str) -> None:
-    """Write a feed DataFrame as CSV in the shape ``read_feed`` reads (used to land test files)."""
-    (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
-     .csv(path))
+def read_feed(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA) -> DataFrame:
+    """Read landed CSV event files (see ``feed_reader``) so the RAW layer has one schema forever."""
+    return feed_reader(spark, schema).csv(path)
+
+
+def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """Write a feed DataFrame as CSV in the shape ``read_feed`` reads (used to land test files):
+    NULL as an unquoted empty field, '' as \"\", spaces kept."""
+    w = (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.csv(path)
 
 
 # O-02 -------------------------------------------------------------------------------------------
