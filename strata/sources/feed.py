@@ -54,11 +54,10 @@ def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 # O-02 -------------------------------------------------------------------------------------------
 def write_raw_day(df: DataFrame, root: str, day: dt.date | str) -> None:
-    """Store one day of feed rows as Parquet under ``root/load_date=<day>``. A rerun of the day
-    replaces that partition only (dynamic overwrite); other days are untouched."""
-    (df.withColumn(RAW_PARTITION, F.lit(str(day)).cast("date"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RAW_PARTITION).parquet(root))
+    """Store one day of feed rows as Parquet in ``root/load_date=<day>``. A rerun of the day replaces
+    that folder only (also with an empty file, as the source overwrites the day's object); other days
+    are untouched. Readers of ``root`` see ``load_date`` as a partition column."""
+    df.select(*FEED_SCHEMA.fieldNames()).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{RAW_PARTITION}={day}")
 
 
 # O-03 -------------------------------------------------------------------------------------------
