@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 from functools import reduce
 from operator import or_
 
@@ -23,11 +24,31 @@ def _date(d: DateLike) -> Column:
 
 
 # broadcast behind a proven bound ------------------------------------------------------------------
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (counted, reading at most
-    max_rows + 1 rows); otherwise return it unchanged so the planner shuffles (sort-merge) instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+BROADCAST_MAX_BYTES = 8 * 1024 * 1024
+_verdicts: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (file sizes for scans; no job is run)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def is_small(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` is proven small: by the optimizer's estimate when that is below ``max_bytes``,
+    else by counting at most max_rows + 1 rows. The verdict is remembered for this DataFrame object."""
+    if df in _verdicts:
+        return _verdicts[df]
+    small = estimated_bytes(df) <= max_bytes or df.limit(max_rows + 1).count() <= max_rows
+    _verdicts[df] = small
+    return small
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, cols: list[str] | None = None) -> DataFrame:
+    """Broadcast ``df`` (projected to ``cols``) only if it is proven small (``is_small``); otherwise
+    return it unchanged so the planner shuffles (sort-merge) instead."""
+    out = df.select(*cols) if cols else df
+    return F.broadcast(out) if is_small(df, max_rows) else out
 
 
 # O-23 / O-24 --------------------------------------------------------------------------------------
@@ -78,8 +99,8 @@ def lookup(df: DataFrame, dim: DataFrame, on: list[tuple[Column, str, bool]], id
     """
     right_cols = [c for _, c, _ in on]
     d = dim.select(F.col(id_col), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(right_cols)])
-    if broadcast_max_rows is not None:
-        d = checked_broadcast(d, broadcast_max_rows)
+    if broadcast_max_rows is not None and is_small(dim, broadcast_max_rows):
+        d = F.broadcast(d)
     left = df
     conds = []
     for i, (expr, _, null_safe) in enumerate(on):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.contracts import FACT_KEYS
 from strata.functions.columns import to_day, zero_if_null
-from strata.operators.relational import any_null, checked_broadcast, labelled_union, side_by_side
+from strata.operators.relational import any_null, is_small, labelled_union, side_by_side
 from strata.plans.model import SMALL_DIM_MAX_ROWS, Star
 
 
@@ -61,8 +61,8 @@ def broken_dim_links(star: Star) -> DataFrame:
     f = star.fact.select(*FACT_KEYS)
     for key, dim in _FK_DIMS:
         d = getattr(star, dim).select(F.col(key).alias(f"__{key}"))
-        if dim not in ("dim_time", "dim_location"):  # these two grow with the events
-            d = checked_broadcast(d, SMALL_DIM_MAX_ROWS)
+        if dim not in ("dim_time", "dim_location") and is_small(getattr(star, dim), SMALL_DIM_MAX_ROWS):
+            d = F.broadcast(d)  # the two others grow with the events and are never broadcast
         f = f.join(d, F.col(key) == F.col(f"__{key}"), "left")
     return f.where(any_null([f"__{k}" for k, _ in _FK_DIMS])).agg(F.count(F.lit(1)).alias("broken_dim_links"))
 

@@ -40,8 +40,8 @@ def first_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         stg = stg_from_feed(load_feed(spark, sf_dir), FIXED_NOW)
         ods = _fix(upsert_ods(empty(spark, C.ODS), stg, FIXED_NOW))
         star, _, _ = load_dm_frames(empty_star(spark), ods, None, FIXED_NOW)
-        # dimensions are cheap to recompute from their checkpointed ids; the fact is fixed once
-        star = star.with_(fact=_fix(star.fact))
+        # every report reads this star: fix each table once
+        star = Star(**{k: _fix(v) for k, v in star.__dict__.items()})
         _cache[key] = (stg, ods, star)
         return _cache[key]
 

@@ -27,7 +27,7 @@ from strata.functions.columns import to_day
 from strata.operators.maintain import reliable_checkpoint, replace_day, replace_days, upsert
 from strata.operators.validate import assert_valid, validate
 from strata.plans.model import (
-    FACT_UPDATE_COLUMNS, Star, add_dimension_rows, fact_rows, new_dimension_rows, stamp, stg_from_feed,
+    DIMENSION_ORDER, FACT_UPDATE_COLUMNS, Star, dimension_rows, fact_rows, stamp, stg_from_feed,
     standardize, ODS_UPDATE_COLUMNS,
 )
 from strata.session import configure
@@ -148,19 +148,20 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
     part = C.ODS.partition_by
     rows = wh.read_ods(spark, keep_partition=True).where(partition_filter(part, ds)).drop(part)
     star = wh.read_star(spark)
-    new = {k: reliable_checkpoint(v) for k, v in new_dimension_rows(star, rows).items()}
-    star2 = add_dimension_rows(star, new)
     fact_part = star.fact.where(partition_filter(C.FACT.partition_by, ds))
-    batch = fact_rows(star2, rows, now)
+    # Dimensions first, as the source pipeline does: append the new rows, then read the table again.
+    # The append is the materialisation (ids are fixed once written); a rerun adds nothing.
+    for name in DIMENSION_ORDER:
+        append(dimension_rows(name, star, rows), wh.dm(name))
+        star = star.with_(**{name: read_layer(spark, wh.dm(name), DIM_TABLES[name])})
+    batch = fact_rows(star, rows, now)
     fact = upsert(fact_part, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,
                   touch={"dwh_loaded_at": stamp(now)})
-    fact = reliable_checkpoint(fact)
     if check:
-        tables = {c.name: (getattr(star2, k), c) for k, c in DIM_TABLES.items()}
+        fact = reliable_checkpoint(fact)
+        tables = {c.name: (getattr(star, k), c) for k, c in DIM_TABLES.items()}
         tables[C.FACT.name] = (fact, C.FACT)
         assert_valid(validate(tables))
-    for k, v in new.items():
-        append(v, wh.dm(k))
     rewrite_partitions(spark, fact, wh.dm("fact_earthquakes"), C.FACT.partition_by, ds)
 
 

@@ -115,32 +115,46 @@ def ods_for_days(ods: DataFrame, days: list | None) -> DataFrame:
 
 
 # O-39 / O-40: the seven dimension loads -------------------------------------------------------------
-def new_dimension_rows(star: Star, ods_rows: DataFrame) -> dict[str, DataFrame]:
-    """New rows per dimension for the given ODS rows (existing rows never change)."""
+# Dimension -> (natural key columns, id column) for the label dimensions.
+LABEL_DIMS = {
+    "dim_magnitude": (["mag_type", "mag_source"], "mag_type_id"),
+    "dim_network": (["net", "location_source"], "network_id"),
+    "dim_status": (["status"], "status_id"),
+    "dim_event_type": (["event_type"], "event_type_id"),
+}
+# Load order: location needs the region ids, so region comes first.
+DIMENSION_ORDER = ["dim_region", "dim_location", "dim_time", *LABEL_DIMS]
+
+
+def dimension_rows(name: str, star: Star, ods_rows: DataFrame) -> DataFrame:
+    """New rows of one dimension for the given ODS rows (existing rows never change). For
+    ``dim_location`` the region ids are looked up in ``star.dim_region``, which must already hold the
+    regions of these rows."""
     e = ods_rows
+    if name == "dim_region":
+        cands = e.select(normalize_label("region").alias("region_name"))
+        return insert_if_new(star.dim_region, cands, ["region_name"], "region_id")
+    if name == "dim_time":
+        cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
+        return insert_if_new(star.dim_time, cands, ["event_time"], "time_id")
+    if name == "dim_location":
+        located = lookup(e, star.dim_region, [(normalize_label("region"), "region_name", False)], "region_id",
+                         broadcast_max_rows=SMALL_DIM_MAX_ROWS)
+        cands = located.select("region_id", "latitude", "longitude", normalize_label("place").alias("place"))
+        return insert_if_new(star.dim_location, cands, ["latitude", "longitude", "place"], "location_id")
+    cols, id_col = LABEL_DIMS[name]
+    cands = e.select(*[normalize_label(c).alias(c) for c in cols])
+    return insert_if_new(getattr(star, name), cands, cols, id_col)
+
+
+def new_dimension_rows(star: Star, ods_rows: DataFrame) -> dict[str, DataFrame]:
+    """New rows per dimension, computed against in-memory dimensions (region rows are added before
+    the location rows are derived)."""
     new = {}
-    region_cands = e.select(normalize_label("region").alias("region_name"))
-    new["dim_region"] = insert_if_new(star.dim_region, region_cands, ["region_name"], "region_id")
-    regions = with_new_rows(star.dim_region, new["dim_region"])
-
-    time_cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
-    new["dim_time"] = insert_if_new(star.dim_time, time_cands, ["event_time"], "time_id")
-
-    located = lookup(e, regions, [(normalize_label("region"), "region_name", False)], "region_id",
-                     broadcast_max_rows=SMALL_DIM_MAX_ROWS)
-    loc_cands = located.select("region_id", "latitude", "longitude", normalize_label("place").alias("place"))
-    new["dim_location"] = insert_if_new(star.dim_location, loc_cands, ["latitude", "longitude", "place"],
-                                        "location_id")
-
-    pairs = {
-        "dim_magnitude": (["mag_type", "mag_source"], "mag_type_id"),
-        "dim_network": (["net", "location_source"], "network_id"),
-        "dim_status": (["status"], "status_id"),
-        "dim_event_type": (["event_type"], "event_type_id"),
-    }
-    for name, (cols, id_col) in pairs.items():
-        cands = e.select(*[normalize_label(c).alias(c) for c in cols])
-        new[name] = insert_if_new(getattr(star, name), cands, cols, id_col)
+    for name in DIMENSION_ORDER:
+        new[name] = dimension_rows(name, star, ods_rows)
+        if name == "dim_region":
+            star = star.with_(dim_region=with_new_rows(star.dim_region, new[name]))
     return new
 
 

@@ -27,8 +27,9 @@ from strata.plans.model import SMALL_DIM_MAX_ROWS, Star
 MAG_SCALE = 2  # mag is decimal(5,2)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return checked_broadcast(df, SMALL_DIM_MAX_ROWS)
+def _small(dim: DataFrame, *cols: str) -> DataFrame:
+    """A dimension projected to ``cols``, broadcast when proven small (checked once per dimension)."""
+    return checked_broadcast(dim, SMALL_DIM_MAX_ROWS, list(cols))
 
 
 def _fact(star: Star, date_from=None, date_to=None) -> DataFrame:
@@ -108,7 +109,7 @@ def _dated(star: Star, date_from=None, date_to=None) -> DataFrame:
 def top_regions(star: Star, date_from=None, date_to=None, min_events: int = 10, k: int = 20) -> DataFrame:
     per = _dated(star, date_from, date_to).groupBy("location_id").agg(*_partials())
     loc = star.dim_location.select("location_id", "region_id")
-    reg = _small(star.dim_region.select("region_id", "region_name"))
+    reg = _small(star.dim_region, "region_id", "region_name")
     g = per.join(loc, "location_id").join(reg, "region_id").groupBy("region_name").agg(*_merge())
     g = _avg_mag(g.where(F.col("events_cnt") >= min_events))
     return top_k(g.select("region_name", "events_cnt", "avg_mag"),
@@ -131,7 +132,7 @@ def depth_distribution(star: Star, date_from=None, date_to=None) -> DataFrame:
 # R-06 -------------------------------------------------------------------------------------------
 def status_distribution(star: Star, date_from=None, date_to=None) -> DataFrame:
     per = _dated(star, date_from, date_to).groupBy("status_id").agg(F.count(F.lit(1)).alias("cnt"))
-    j = per.join(_small(star.dim_status.select("status_id", "status")), "status_id")
+    j = per.join(_small(star.dim_status, "status_id", "status"), "status_id")
     return j.groupBy("status").agg(F.sum("cnt").alias("events_cnt")).orderBy(F.col("events_cnt").desc())
 
 
@@ -145,10 +146,10 @@ def _strong_events(star: Star, date_from, date_to, k: int, min_mag=5) -> DataFra
     j = (f.select("id", "time_id", "location_id", "network_id", "status_id", "event_type_id", "mag", "depth")
          .join(_times(star, date_from, date_to).select("time_id", "event_time"), "time_id")
          .join(star.dim_location.select("location_id", "region_id", "place"), "location_id")
-         .join(_small(star.dim_region.select("region_id", "region_name")), "region_id")
-         .join(_small(star.dim_network.select("network_id", "net", "location_source")), "network_id")
-         .join(_small(star.dim_status.select("status_id", "status")), "status_id")
-         .join(_small(star.dim_event_type.select("event_type_id", "event_type")), "event_type_id"))
+         .join(_small(star.dim_region, "region_id", "region_name"), "region_id")
+         .join(_small(star.dim_network, "network_id", "net", "location_source"), "network_id")
+         .join(_small(star.dim_status, "status_id", "status"), "status_id")
+         .join(_small(star.dim_event_type, "event_type_id", "event_type"), "event_type_id"))
     # newest first; the event id breaks ties so the cut at k is deterministic
     top = top_k(j, [F.col("event_time").desc_nulls_first(), F.col("id").desc()], k)
     return top.select(F.col("event_time").cast("timestamp_ntz").alias("event_time"), *EVENT_COLUMNS[1:])
@@ -172,7 +173,7 @@ def map_points(star: Star, date_from=None, date_to=None) -> DataFrame:
     per = f.groupBy("location_id").agg(*_partials())
     loc = (star.dim_location.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
            .select("location_id", "region_id", "latitude", "longitude"))
-    reg = _small(star.dim_region.select("region_id", "region_name"))
+    reg = _small(star.dim_region, "region_id", "region_name")
     g = per.join(loc, "location_id").join(reg, "region_id").groupBy("latitude", "longitude", "region_name").agg(*_merge())
     return _avg_mag(g).orderBy(F.col("events_cnt").desc())
 
@@ -189,7 +190,7 @@ def heatmap_day_hour(star: Star, date_from=None, date_to=None) -> DataFrame:
 def regions_intensity(star: Star, min_events: int = 10, k: int = 25) -> DataFrame:
     per = star.fact.groupBy("location_id").agg(*_partials(with_max=True, with_5plus=True))
     loc = star.dim_location.select("location_id", "region_id")
-    reg = _small(star.dim_region.select("region_id", "region_name"))
+    reg = _small(star.dim_region, "region_id", "region_name")
     g = (per.join(loc, "location_id").join(reg, "region_id").groupBy("region_name")
          .agg(*_merge(with_max=True, with_5plus=True)))
     g = _avg_mag(g.where(F.col("events_cnt") >= min_events))
@@ -213,8 +214,8 @@ def weekly_trend(star: Star) -> DataFrame:
 # R-13 -------------------------------------------------------------------------------------------
 def event_type_status(star: Star) -> DataFrame:
     per = star.fact.groupBy("event_type_id", "status_id").agg(*_partials())
-    j = (per.join(_small(star.dim_event_type.select("event_type_id", "event_type")), "event_type_id")
-         .join(_small(star.dim_status.select("status_id", "status")), "status_id"))
+    j = (per.join(_small(star.dim_event_type, "event_type_id", "event_type"), "event_type_id")
+         .join(_small(star.dim_status, "status_id", "status"), "status_id"))
     g = _avg_mag(j.groupBy("event_type", "status").agg(*_merge()))
     return g.orderBy(F.col("events_cnt").desc(), F.col("avg_mag").desc_nulls_first())
 

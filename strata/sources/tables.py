@@ -41,13 +41,23 @@ def rewrite_partitions(spark: SparkSession, df: DataFrame, path: str, col: str,
     staging = scratch_path(spark, "stage")
     df.write.mode("overwrite").partitionBy(col).parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
-    written = {r[0] for r in staged.select(col).distinct().collect()}  # at most len(affected) values
+    written = _partition_values(staged.inputFiles(), col)  # from the file listing, no job
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
     emptied = [v for v in affected if v not in written]
     if emptied:
         _drop_partition_dirs(spark, path, col, emptied)
 
 
+def _partition_values(files: list[str], col: str) -> set:
+    out = set()
+    for f in files:
+        for seg in f.split("/"):
+            if seg.startswith(col + "="):
+                v = seg[len(col) + 1:]
+                out.add(None if v == "__HIVE_DEFAULT_PARTITION__" else dt.date.fromisoformat(v))
+    return out
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
