@@ -51,6 +51,18 @@ def checked_broadcast(df: DataFrame, max_rows: int, cols: list[str] | None = Non
     return F.broadcast(out) if is_small(df, max_rows) else out
 
 
+# input spreading --------------------------------------------------------------------------------------
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields fewer partitions than there are task
+    slots (a few unsplittable files, e.g. one multi-line CSV per day); otherwise leave it alone, so a
+    scan of many files pays no shuffle."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
 # O-23 / O-24 --------------------------------------------------------------------------------------
 def on_day(df: DataFrame, ts: Column | str, day: dt.date | str) -> DataFrame:
     """``WHERE CAST(ts AS DATE) = day``; Catalyst turns the cast-equality into a range the Parquet

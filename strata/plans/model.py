@@ -138,9 +138,12 @@ def dimension_rows(name: str, star: Star, ods_rows: DataFrame) -> DataFrame:
         cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
         return insert_if_new(star.dim_time, cands, ["event_time"], "time_id")
     if name == "dim_location":
-        located = lookup(e, star.dim_region, [(normalize_label("region"), "region_name", False)], "region_id",
+        # distinct first (partial aggregation collapses a hot place map-side), then the region lookup
+        keys = e.select(normalize_label("region").alias("region_label"), "latitude", "longitude",
+                        normalize_label("place").alias("place")).distinct()
+        located = lookup(keys, star.dim_region, [(F.col("region_label"), "region_name", False)], "region_id",
                          broadcast_max_rows=SMALL_DIM_MAX_ROWS)
-        cands = located.select("region_id", "latitude", "longitude", normalize_label("place").alias("place"))
+        cands = located.select("region_id", "latitude", "longitude", "place")
         return insert_if_new(star.dim_location, cands, ["latitude", "longitude", "place"], "location_id")
     cols, id_col = LABEL_DIMS[name]
     cands = e.select(*[normalize_label(c).alias(c) for c in cols])

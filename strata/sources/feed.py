@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from strata.contracts import FEED_SCHEMA, Contract
+from strata.operators.relational import spread
 
 RAW_PARTITION = "load_date"
 
@@ -38,8 +39,9 @@ def feed_reader(spark: SparkSession, schema: T.StructType = FEED_SCHEMA):
 
 
 def read_feed(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA) -> DataFrame:
-    """Read landed CSV event files (see ``feed_reader``) so the RAW layer has one schema forever."""
-    return feed_reader(spark, schema).csv(path)
+    """Read landed CSV event files (see ``feed_reader``) so the RAW layer has one schema forever.
+    A multi-line CSV file cannot be split, so a few large files are spread over the cluster."""
+    return spread(feed_reader(spark, schema).csv(path))
 
 
 def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

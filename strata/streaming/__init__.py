@@ -1,0 +1,2 @@
+"""No streaming operators: the source pipeline is a daily batch (cron-triggered, one day per run) with
+no watermark, event-time window or stateful operator, so there is nothing to build here."""
