@@ -275,11 +275,18 @@ def _dim(name):
     return run
 
 
+_second: dict = {}
+
+
 def _second_star(spark, sf):
-    _, _, star = first_load(spark, sf)
-    ods2 = second_load(spark, sf)
-    star2, _, _ = load_dm_frames(star, ods2, None, FIXED_NOW)
-    return star2
+    """The star after the second batch: ODS upsert, then a DM load of all days (fixed once per session)."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _second:
+        _, _, star = first_load(spark, sf)
+        ods2 = second_load(spark, sf)
+        star2, _, _ = load_dm_frames(star, ods2, None, FIXED_NOW)
+        _second[key] = star2.__class__(**{k: M.reliable_checkpoint(v) for k, v in star2.__dict__.items()})
+    return _second[key]
 
 
 def o40_dim_location_second_load(spark, sf):
