@@ -76,15 +76,18 @@ def max_id(dim: DataFrame, id_col: str) -> int:
 
 
 def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str], id_col: str,
-                  null_safe: bool = True) -> DataFrame:
+                  null_safe: bool = True, existing: DataFrame | None = None) -> DataFrame:
     """Rows to append to ``dim``: distinct candidates whose natural key is not in ``dim`` yet, each
     with a new id above the current maximum. Existing rows never change, so a rerun adds nothing.
 
     ``null_safe=True`` treats NULL key parts as equal to each other, so a key with NULL coordinates
     is stored once (the source database's UNIQUE would store it again on every run).
+
+    ``existing`` may narrow the rows the candidates are matched against (e.g. to the days of the
+    batch when the natural key is a timestamp); the new ids still start above ``dim``'s maximum.
     """
     fresh = candidates.dropDuplicates(natural_key)
-    existing = dim.select(*natural_key)
+    existing = (dim if existing is None else existing).select(*natural_key)
     if null_safe:
         cond = None
         for c in natural_key:

@@ -152,9 +152,9 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
     # Dimensions first, as the source pipeline does: append the new rows, then read the table again.
     # The append is the materialisation (ids are fixed once written); a rerun adds nothing.
     for name in DIMENSION_ORDER:
-        append(dimension_rows(name, star, rows), wh.dm(name))
+        append(dimension_rows(name, star, rows, ds), wh.dm(name))
         star = star.with_(**{name: read_layer(spark, wh.dm(name), DIM_TABLES[name])})
-    batch = fact_rows(star, rows, now)
+    batch = fact_rows(star, rows, now, ds)
     fact = upsert(fact_part, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,
                   touch={"dwh_loaded_at": stamp(now)})
     if check:

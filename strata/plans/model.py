@@ -126,7 +126,18 @@ LABEL_DIMS = {
 DIMENSION_ORDER = ["dim_region", "dim_location", "dim_time", *LABEL_DIMS]
 
 
-def dimension_rows(name: str, star: Star, ods_rows: DataFrame) -> DataFrame:
+def time_window(dim_time: DataFrame, days: list | None) -> DataFrame:
+    """Time rows of the given days only (all when None): a batch's event times can only equal time
+    rows of its own days. A half-open range on ``event_time`` prunes Parquet row groups by their
+    min/max statistics (the table is appended day by day, so its files are time-clustered)."""
+    if not days:
+        return dim_time
+    lo, hi = min(days), max(days) + dt.timedelta(days=1)
+    return dim_time.where((F.col("event_time") >= F.lit(str(lo)).cast("timestamp"))
+                          & (F.col("event_time") < F.lit(str(hi)).cast("timestamp")))
+
+
+def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None = None) -> DataFrame:
     """New rows of one dimension for the given ODS rows (existing rows never change). For
     ``dim_location`` the region ids are looked up in ``star.dim_region``, which must already hold the
     regions of these rows."""
@@ -136,7 +147,8 @@ def dimension_rows(name: str, star: Star, ods_rows: DataFrame) -> DataFrame:
         return insert_if_new(star.dim_region, cands, ["region_name"], "region_id")
     if name == "dim_time":
         cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
-        return insert_if_new(star.dim_time, cands, ["event_time"], "time_id")
+        return insert_if_new(star.dim_time, cands, ["event_time"], "time_id",
+                             existing=time_window(star.dim_time, days))
     if name == "dim_location":
         # distinct first (partial aggregation collapses a hot place map-side), then the region lookup
         keys = e.select(normalize_label("region").alias("region_label"), "latitude", "longitude",
@@ -166,11 +178,13 @@ def add_dimension_rows(star: Star, new: dict[str, DataFrame]) -> Star:
 
 
 # O-45: fact rows by key lookup --------------------------------------------------------------------------
-def fact_rows(star: Star, ods_rows: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+def fact_rows(star: Star, ods_rows: DataFrame, now: dt.datetime | None = None, days: list | None = None
+              ) -> DataFrame:
     """One fact row per ODS row: six left lookups (an unmatched dimension gives a NULL key, the row
-    stays) and ten measures. ``event_date`` is carried as a storage/pruning column."""
+    stays) and ten measures. ``event_date`` is carried as a storage/pruning column. With ``days`` the
+    time lookup reads only those days' time rows."""
     small = SMALL_DIM_MAX_ROWS
-    f = lookup(ods_rows, star.dim_time, [(F.col("event_time"), "event_time", False)], "time_id")
+    f = lookup(ods_rows, time_window(star.dim_time, days), [(F.col("event_time"), "event_time", False)], "time_id")
     f = lookup(f, star.dim_location, [(F.col("latitude"), "latitude", True),
                                       (F.col("longitude"), "longitude", True),
                                       (normalize_label("place"), "place", False)], "location_id")
