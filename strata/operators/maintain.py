@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
+from strata.operators.relational import reduce_to_keys
 from strata.session import ensure_checkpoint_dir
 
 _LOW_BITS = 33  # monotonically_increasing_id: partition index in the high bits, row index in the low 33
@@ -76,7 +77,8 @@ def max_id(dim: DataFrame, id_col: str) -> int:
 
 
 def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str], id_col: str,
-                  null_safe: bool = True, existing: DataFrame | None = None) -> DataFrame:
+                  null_safe: bool = True, existing: DataFrame | None = None,
+                  reduce_existing: bool = False) -> DataFrame:
     """Rows to append to ``dim``: distinct candidates whose natural key is not in ``dim`` yet, each
     with a new id above the current maximum. Existing rows never change, so a rerun adds nothing.
 
@@ -88,6 +90,8 @@ def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str],
     """
     fresh = candidates.dropDuplicates(natural_key)
     existing = (dim if existing is None else existing).select(*natural_key)
+    if reduce_existing:  # a small batch against a large dimension: filter it map-side, no shuffle
+        existing = reduce_to_keys(existing, fresh, [(c, c, null_safe) for c in natural_key])
     if null_safe:
         cond = None
         for c in natural_key:

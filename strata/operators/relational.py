@@ -100,16 +100,43 @@ def at_least(df: DataFrame, col: str, threshold) -> DataFrame:
     return df.where(F.col(col) >= F.lit(threshold))
 
 
+# semi-join reduction -----------------------------------------------------------------------------
+KEY_BROADCAST_MAX_ROWS = 200_000
+
+
+def _key_cond(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str, bool]]) -> Column:
+    conds = [left[a].eqNullSafe(right[b]) if ns else left[a] == right[b] for a, b, ns in pairs]
+    return reduce(lambda x, y: x & y, conds)
+
+
+def reduce_to_keys(big: DataFrame, keys: DataFrame, pairs: list[tuple[str, str, bool]],
+                   max_rows: int = KEY_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``big`` whose key occurs in ``keys`` — as a broadcast left-semi join when the distinct
+    keys are proven small, so ``big`` is filtered map-side and never shuffled; otherwise ``big``
+    unchanged (the join after it then shuffles both sides). ``pairs``: (big col, keys col, null_safe)."""
+    distinct_keys = keys.select(*[b for _, b, _ in pairs]).distinct()
+    if not is_small(distinct_keys, max_rows):
+        return big
+    k = F.broadcast(distinct_keys.select(*[F.col(b).alias(f"__rk{i}") for i, (_, b, _) in enumerate(pairs)]))
+    cond = _key_cond(big, k, [(a, f"__rk{i}", ns) for i, (a, _, ns) in enumerate(pairs)])
+    return big.join(k, cond, "left_semi")
+
+
 # O-29 / O-30: left lookup of a surrogate key on a (normalised) natural key ---------------------------
 def lookup(df: DataFrame, dim: DataFrame, on: list[tuple[Column, str, bool]], id_col: str,
-           broadcast_max_rows: int | None = None) -> DataFrame:
+           broadcast_max_rows: int | None = None, reduce_dim: bool = False) -> DataFrame:
     """Left join ``dim`` and add its ``id_col``; unmatched rows keep a NULL key.
 
     ``on`` holds (expression over df, dim column, null_safe). A null-safe pair stays an equi-join key
     (Catalyst rewrites ``<=>`` to coalesce/isnull keys), so the join is hash/sort-merge, never a
-    nested loop. Small dimensions are broadcast only behind a row-count check.
+    nested loop. Small dimensions are broadcast only behind a row-count check. ``reduce_dim`` first
+    cuts a large dimension down to the keys of ``df`` (``reduce_to_keys``), for a small batch
+    against a dimension that grows with the events.
     """
     right_cols = [c for _, c, _ in on]
+    if reduce_dim:
+        probe = df.select(*[expr.alias(f"__p{i}") for i, (expr, _, _) in enumerate(on)])
+        dim = reduce_to_keys(dim, probe, [(c, f"__p{i}", ns) for i, (_, c, ns) in enumerate(on)])
     d = dim.select(F.col(id_col), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(right_cols)])
     if broadcast_max_rows is not None and is_small(dim, broadcast_max_rows):
         d = F.broadcast(d)

@@ -94,22 +94,23 @@ def ingest_raw(spark: SparkSession, wh: Warehouse, csv_path: str, day: dt.date |
 
 
 # O-48 -------------------------------------------------------------------------------------------
-def load_stg(spark: SparkSession, wh: Warehouse, day: dt.date | str, now: dt.datetime | None = None) -> bool:
+def load_stg(spark: SparkSession, wh: Warehouse, day: dt.date | str, now: dt.datetime | None = None) -> list:
     """Replace the STG rows dated ``day`` by every row of that day's RAW file (rows of other dates in
-    the file are appended too). A file without a non-NULL id changes nothing. Returns whether it ran."""
+    the file are appended too). A file without a non-NULL id changes nothing. Returns the STG
+    partitions it rewrote (empty when the day was skipped)."""
     configure(spark)
     d = _day(day)
     batch = (stg_from_feed(read_raw_day(spark, wh.raw, d), now)
              .withColumn(C.STG.partition_by, F.col("time").try_cast("date")))
     batch = reliable_checkpoint(batch)  # read once; the day's file may be re-landed meanwhile
     if batch.where(F.col("id").isNotNull()).limit(1).count() == 0:
-        return False
+        return []
     affected = sorted(set(distinct_values(batch, C.STG.partition_by)) | {d}, key=lambda v: (v is not None, v))
     part = C.STG.partition_by
     target = wh.read_stg(spark).where(partition_filter(part, affected))
     merged = replace_day(target, batch, F.col(part), d)
     rewrite_partitions(spark, merged, wh.stg, part, affected)
-    return True
+    return affected
 
 
 # O-49 -------------------------------------------------------------------------------------------
@@ -121,7 +122,7 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
     configure(spark)
     stg = wh.read_stg(spark)
     if days is not None:
-        stg = stg.where(partition_filter(C.STG.partition_by, [_day(x) for x in days]))
+        stg = stg.where(partition_filter(C.STG.partition_by, [None if x is None else _day(x) for x in days]))
     batch = reliable_checkpoint(stg.drop(C.STG.partition_by))
     part = C.ODS.partition_by
     ods = wh.read_ods(spark, keep_partition=True)
@@ -168,10 +169,14 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
 # O-51 / O-52 --------------------------------------------------------------------------------------
 def run_day(spark: SparkSession, wh: Warehouse, csv_path: str, day: dt.date | str,
             now: dt.datetime | None = None, ods_days: bool = False) -> None:
-    """The four layers for one day, in order."""
+    """The four layers for one day, in order. ``ods_days=True`` upserts into ODS only the STG
+    partitions this day's file rewrote (instead of all of STG, as the source pipeline does); the
+    result is the same unless STG holds two versions of one event, where the source fails."""
     ingest_raw(spark, wh, csv_path, day)
-    load_stg(spark, wh, day, now)
-    load_ods(spark, wh, now, days=[day] if ods_days else None)
+    touched = load_stg(spark, wh, day, now)
+    if ods_days and not touched:
+        return load_dm(spark, wh, day, now)
+    load_ods(spark, wh, now, days=touched if ods_days else None)
     load_dm(spark, wh, day, now)
 
 
@@ -208,5 +213,5 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     target = wh.read_stg(spark).where(partition_filter(part, affected))
     merged = replace_days(target, batch, F.col(part), F.col(RAW_PARTITION), live)
     rewrite_partitions(spark, merged, wh.stg, part, affected)
-    load_ods(spark, wh, now, days=None if not ods_days else ds)
+    load_ods(spark, wh, now, days=affected if ods_days else None)
     load_dm(spark, wh, ds, now)

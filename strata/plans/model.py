@@ -148,7 +148,7 @@ def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None
     if name == "dim_time":
         cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
         return insert_if_new(star.dim_time, cands, ["event_time"], "time_id",
-                             existing=time_window(star.dim_time, days))
+                             existing=time_window(star.dim_time, days), reduce_existing=days is not None)
     if name == "dim_location":
         # distinct first (partial aggregation collapses a hot place map-side), then the region lookup
         keys = e.select(normalize_label("region").alias("region_label"), "latitude", "longitude",
@@ -156,7 +156,8 @@ def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None
         located = lookup(keys, star.dim_region, [(F.col("region_label"), "region_name", False)], "region_id",
                          broadcast_max_rows=SMALL_DIM_MAX_ROWS)
         cands = located.select("region_id", "latitude", "longitude", "place")
-        return insert_if_new(star.dim_location, cands, ["latitude", "longitude", "place"], "location_id")
+        return insert_if_new(star.dim_location, cands, ["latitude", "longitude", "place"], "location_id",
+                             reduce_existing=days is not None)
     cols, id_col = LABEL_DIMS[name]
     cands = e.select(*[normalize_label(c).alias(c) for c in cols])
     return insert_if_new(getattr(star, name), cands, cols, id_col)
@@ -184,10 +185,12 @@ def fact_rows(star: Star, ods_rows: DataFrame, now: dt.datetime | None = None, d
     stays) and ten measures. ``event_date`` is carried as a storage/pruning column. With ``days`` the
     time lookup reads only those days' time rows."""
     small = SMALL_DIM_MAX_ROWS
-    f = lookup(ods_rows, time_window(star.dim_time, days), [(F.col("event_time"), "event_time", False)], "time_id")
+    daily = days is not None  # a batch of days against dimensions that grow with the events
+    f = lookup(ods_rows, time_window(star.dim_time, days), [(F.col("event_time"), "event_time", False)], "time_id",
+               reduce_dim=daily)
     f = lookup(f, star.dim_location, [(F.col("latitude"), "latitude", True),
                                       (F.col("longitude"), "longitude", True),
-                                      (normalize_label("place"), "place", False)], "location_id")
+                                      (normalize_label("place"), "place", False)], "location_id", reduce_dim=daily)
     f = lookup(f, star.dim_magnitude, [(normalize_label("mag_type"), "mag_type", False),
                                        (normalize_label("mag_source"), "mag_source", False)], "mag_type_id", small)
     f = lookup(f, star.dim_network, [(normalize_label("net"), "net", False),
