@@ -186,13 +186,14 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str], update_cols: lis
 
 # O-43: delete a day, then append ------------------------------------------------------------------------
 def replace_day(target: DataFrame, batch: DataFrame, day_of: Column, day: dt.date | str,
-                id_col: str = "id") -> DataFrame:
+                id_col: str = "id", checked: bool = False) -> DataFrame:
     """Rows of ``target`` dated ``day`` are replaced by *all* rows of ``batch`` (whatever their date).
 
     ``day_of`` is the row's date expression (rows whose date is NULL are never deleted). A batch with
-    no non-NULL ``id_col`` changes nothing: the day is skipped and the old rows stay.
+    no non-NULL ``id_col`` changes nothing: the day is skipped and the old rows stay (``checked``:
+    the caller has already established that the batch is not empty).
     """
-    if batch.where(F.col(id_col).isNotNull()).limit(1).count() == 0:
+    if not checked and batch.where(F.col(id_col).isNotNull()).limit(1).count() == 0:
         return target
     d = F.lit(str(day)).cast("date")
     kept = target.where(~F.coalesce(day_of == d, F.lit(False)))

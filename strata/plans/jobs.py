@@ -103,12 +103,16 @@ def load_stg(spark: SparkSession, wh: Warehouse, day: dt.date | str, now: dt.dat
     batch = (stg_from_feed(read_raw_day(spark, wh.raw, d), now)
              .withColumn(C.STG.partition_by, F.col("time").try_cast("date")))
     batch = reliable_checkpoint(batch)  # read once; the day's file may be re-landed meanwhile
-    if batch.where(F.col("id").isNotNull()).limit(1).count() == 0:
-        return []
-    affected = sorted(set(distinct_values(batch, C.STG.partition_by)) | {d}, key=lambda v: (v is not None, v))
     part = C.STG.partition_by
+    # one job: is there a row with an id, and which dates does the file hold (a handful of values)
+    stats = batch.agg(F.count("id").alias("n"), F.collect_set(F.coalesce(F.col(part).cast("string"), F.lit("")))
+                      .alias("days")).first()
+    if stats["n"] == 0:
+        return []
+    dates = {None if v == "" else dt.date.fromisoformat(v) for v in stats["days"]}
+    affected = sorted(dates | {d}, key=lambda v: (v is not None, v))
     target = wh.read_stg(spark).where(partition_filter(part, affected))
-    merged = replace_day(target, batch, F.col(part), d)
+    merged = replace_day(target, batch, F.col(part), d, checked=True)
     rewrite_partitions(spark, merged, wh.stg, part, affected)
     return affected
 
