@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.blocks import (
-    BASE, DEPTH_BUCKET, FACT_KEYS, FACT_MEASURES, FEED, ISO, MAG_BUCKET, NOW, ODS_COLS, STAR, STG_SELECT, avg2,
+    BASE, DEPTH_BUCKET, FACT_KEYS, FACT_MEASURES, ISO, MAG_BUCKET, NOW, ODS_COLS, STAR, STG_SELECT, avg2,
     fact_select, norm, standardize, star, with_,
 )
 from oracle.reports import BOUNDS, DEFECTS

@@ -14,13 +14,9 @@ from strata.functions import columns as X
 from strata.operators import maintain as M
 from strata.operators import relational as O
 from strata.operators.validate import validate
-from strata.plans import checks as Q
 from strata.plans import jobs as J
-from strata.plans import reports as R
 from strata.plans.fixtures import FIXED_NOW, defect_load, first_load, second_load
-from strata.plans.model import (
-    FACT_UPDATE_COLUMNS, empty, load_dm_frames, standardize, stamp, stg_from_feed,
-)
+from strata.plans.model import empty, load_dm_frames, stamp, stg_from_feed
 from strata.session import scratch_path
 from strata.sources import feed as S
 from strata.sources.testdata import ISO_MS, corrections, load_feed, second_batch

@@ -172,10 +172,14 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
 
 # O-51 / O-52 --------------------------------------------------------------------------------------
 def run_day(spark: SparkSession, wh: Warehouse, csv_path: str, day: dt.date | str,
-            now: dt.datetime | None = None, ods_days: bool = False) -> None:
-    """The four layers for one day, in order. ``ods_days=True`` upserts into ODS only the STG
-    partitions this day's file rewrote (instead of all of STG, as the source pipeline does); the
-    result is the same unless STG holds two versions of one event, where the source fails."""
+            now: dt.datetime | None = None, ods_days: bool = True) -> None:
+    """The four layers for one day, in order.
+
+    ``ods_days=True`` (default) upserts into ODS only the STG partitions this day's file rewrote;
+    ``False`` re-upserts all of STG, as the source pipeline does. Re-applying an unchanged STG row is a
+    no-op, so both give the same ODS whenever STG holds at most one version of an event — the only
+    other case is one where the source's upsert fails ("cannot affect row a second time"). The
+    incremental form rewrites a day's partitions instead of the whole ODS."""
     ingest_raw(spark, wh, csv_path, day)
     touched = load_stg(spark, wh, day, now)
     if ods_days and not touched:
@@ -185,7 +189,7 @@ def run_day(spark: SparkSession, wh: Warehouse, csv_path: str, day: dt.date | st
 
 
 def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now: dt.datetime | None = None,
-             mode: str = "daily", ods_days: bool = False) -> None:
+             mode: str = "daily", ods_days: bool = True) -> None:
     """Load a range of days (``landing/day=<D>`` holds day D's files).
 
     * ``mode="daily"``: the day chain once per day, in order (what a scheduler catch-up does).
