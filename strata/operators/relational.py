@@ -124,18 +124,21 @@ def reduce_to_keys(big: DataFrame, keys: DataFrame, pairs: list[tuple[str, str,
 
 # O-29 / O-30: left lookup of a surrogate key on a (normalised) natural key ---------------------------
 def lookup(df: DataFrame, dim: DataFrame, on: list[tuple[Column, str, bool]], id_col: str,
-           broadcast_max_rows: int | None = None, reduce_dim: bool = False) -> DataFrame:
+           broadcast_max_rows: int | None = None, reduce_dim: bool = False,
+           probe_from: DataFrame | None = None) -> DataFrame:
     """Left join ``dim`` and add its ``id_col``; unmatched rows keep a NULL key.
 
     ``on`` holds (expression over df, dim column, null_safe). A null-safe pair stays an equi-join key
     (Catalyst rewrites ``<=>`` to coalesce/isnull keys), so the join is hash/sort-merge, never a
     nested loop. Small dimensions are broadcast only behind a row-count check. ``reduce_dim`` first
     cuts a large dimension down to the keys of ``df`` (``reduce_to_keys``), for a small batch
-    against a dimension that grows with the events.
+    against a dimension that grows with the events; its keys are taken from ``probe_from`` (default
+    ``df``), which should be the cheapest frame holding the key columns.
     """
     right_cols = [c for _, c, _ in on]
     if reduce_dim:
-        probe = df.select(*[expr.alias(f"__p{i}") for i, (expr, _, _) in enumerate(on)])
+        src = df if probe_from is None else probe_from
+        probe = src.select(*[expr.alias(f"__p{i}") for i, (expr, _, _) in enumerate(on)])
         dim = reduce_to_keys(dim, probe, [(c, f"__p{i}", ns) for i, (_, c, ns) in enumerate(on)])
     d = dim.select(F.col(id_col), *[F.col(c).alias(f"__k{i}") for i, c in enumerate(right_cols)])
     if broadcast_max_rows is not None and is_small(dim, broadcast_max_rows):

@@ -190,7 +190,8 @@ def fact_rows(star: Star, ods_rows: DataFrame, now: dt.datetime | None = None, d
                reduce_dim=daily)
     f = lookup(f, star.dim_location, [(F.col("latitude"), "latitude", True),
                                       (F.col("longitude"), "longitude", True),
-                                      (normalize_label("place"), "place", False)], "location_id", reduce_dim=daily)
+                                      (normalize_label("place"), "place", False)], "location_id", reduce_dim=daily,
+               probe_from=ods_rows)
     f = lookup(f, star.dim_magnitude, [(normalize_label("mag_type"), "mag_type", False),
                                        (normalize_label("mag_source"), "mag_source", False)], "mag_type_id", small)
     f = lookup(f, star.dim_network, [(normalize_label("net"), "net", False),
