@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
 from strata.operators.relational import reduce_to_keys
-from strata.session import ensure_checkpoint_dir
+from strata.session import ensure_checkpoint_dir, scratch_path
 
 _LOW_BITS = 33  # monotonically_increasing_id: partition index in the high bits, row index in the low 33
 
@@ -37,6 +37,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return fixed
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared scratch folder and read it back: one job, lineage
+    cut, and the result has file statistics (size-based join planning) and columnar pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def assign_ids(keys: DataFrame, key_cols: list[str], id_col: str, base: int = 0,
                num_partitions: int | None = None, small_max_rows: int = SMALL_KEYS_MAX_ROWS) -> DataFrame:
     """Number distinct ``keys`` rows base+1, base+2, ... in natural-key order (NULLs first).

@@ -281,7 +281,7 @@ def _second_star(spark, sf):
         _, _, star = first_load(spark, sf)
         ods2 = second_load(spark, sf)
         star2, _, _ = load_dm_frames(star, ods2, None, FIXED_NOW)
-        _second[key] = star2.__class__(**{k: M.reliable_checkpoint(v) for k, v in star2.__dict__.items()})
+        _second[key] = star2.__class__(**{k: M.materialize(v, k) for k, v in star2.__dict__.items()})
     return _second[key]
 
 

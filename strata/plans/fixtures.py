@@ -1,8 +1,8 @@
 """The worked example on the driver's test tables: first load, second batch, defect injection.
 
-``first_load`` builds RAW-shaped feed -> STG -> ODS -> star in one pass over all days and fixes the
-result with reliable checkpoints (so every report of a session reads the same star, and a lost
-executor cannot renumber surrogate ids). Audit stamps use a fixed instant so results reproduce.
+``first_load`` builds RAW-shaped feed -> STG -> ODS -> star in one pass over all days and writes each
+table once to the shared scratch folder (so every report of a session reads the same star, lineage is
+cut, and the tables carry file statistics). Audit stamps use a fixed instant so results reproduce.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata import contracts as C
 from strata.plans.model import Star, empty, empty_star, load_dm_frames, stg_from_feed, upsert_ods
-from strata.operators.maintain import reliable_checkpoint
+from strata.operators.maintain import materialize
 from strata.session import configure
 from strata.sources.testdata import load_feed, second_batch
 
@@ -26,8 +26,8 @@ _cache: dict[tuple[str, str], tuple[DataFrame, DataFrame, Star]] = {}
 _lock = threading.Lock()
 
 
-def _fix(df: DataFrame) -> DataFrame:
-    return reliable_checkpoint(df)
+def _fix(df: DataFrame, name: str = "table") -> DataFrame:
+    return materialize(df, name)
 
 
 def first_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Star]:
@@ -38,10 +38,10 @@ def first_load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
             return _cache[key]
         configure(spark)
         stg = stg_from_feed(load_feed(spark, sf_dir), FIXED_NOW)
-        ods = _fix(upsert_ods(empty(spark, C.ODS), stg, FIXED_NOW))
+        ods = _fix(upsert_ods(empty(spark, C.ODS), stg, FIXED_NOW), "ods")
         star, _, _ = load_dm_frames(empty_star(spark), ods, None, FIXED_NOW)
         # every report reads this star: fix each table once
-        star = Star(**{k: _fix(v) for k, v in star.__dict__.items()})
+        star = Star(**{k: _fix(v, k) for k, v in star.__dict__.items()})
         _cache[key] = (stg, ods, star)
         return _cache[key]
 
