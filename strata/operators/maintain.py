@@ -86,7 +86,7 @@ def max_id(dim: DataFrame, id_col: str) -> int:
 
 def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str], id_col: str,
                   null_safe: bool = True, existing: DataFrame | None = None,
-                  reduce_existing: bool = False) -> DataFrame:
+                  reduce_existing: bool = False, base: int | None = None) -> DataFrame:
     """Rows to append to ``dim``: distinct candidates whose natural key is not in ``dim`` yet, each
     with a new id above the current maximum. Existing rows never change, so a rerun adds nothing.
 
@@ -111,7 +111,8 @@ def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str],
     other = [c for c in candidates.columns if c not in natural_key]
     rows = new_keys.select(*natural_key, *other)
     out_cols = [id_col] + [c for c in dim.columns if c != id_col]
-    return assign_ids(rows, natural_key, id_col, base=max_id(dim, id_col)).select(*out_cols)
+    start = max_id(dim, id_col) if base is None else base
+    return assign_ids(rows, natural_key, id_col, base=start).select(*out_cols)
 
 
 def with_new_rows(dim: DataFrame, new_rows: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from strata.plans.model import (
 )
 from strata.session import configure
 from strata.sources.feed import feed_reader, read_feed, read_layer, read_raw_day, write_raw_day, RAW_PARTITION
-from strata.sources.tables import append, distinct_values, partition_filter, rewrite_partitions
+from strata.sources.tables import append, distinct_values, footer_max, partition_filter, rewrite_partitions
 
 DIM_TABLES = {
     "dim_time": C.DIM_TIME, "dim_location": C.DIM_LOCATION, "dim_region": C.DIM_REGION,
@@ -157,7 +157,8 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
     # Dimensions first, as the source pipeline does: append the new rows, then read the table again.
     # The append is the materialisation (ids are fixed once written); a rerun adds nothing.
     for name in DIMENSION_ORDER:
-        append(dimension_rows(name, star, rows, ds), wh.dm(name))
+        base = footer_max(spark, wh.dm(name), DIM_TABLES[name].key[0])  # no scan of the id column
+        append(dimension_rows(name, star, rows, ds, base), wh.dm(name))
         star = star.with_(**{name: read_layer(spark, wh.dm(name), DIM_TABLES[name])})
     batch = fact_rows(star, rows, now, ds)
     fact = upsert(fact_part, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,

@@ -137,18 +137,20 @@ def time_window(dim_time: DataFrame, days: list | None) -> DataFrame:
                           & (F.col("event_time") < F.lit(str(hi)).cast("timestamp")))
 
 
-def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None = None) -> DataFrame:
+def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None = None,
+                   base: int | None = None) -> DataFrame:
     """New rows of one dimension for the given ODS rows (existing rows never change). For
     ``dim_location`` the region ids are looked up in ``star.dim_region``, which must already hold the
-    regions of these rows."""
+    regions of these rows. ``base``: the dimension's largest id, when known without a scan."""
     e = ods_rows
     if name == "dim_region":
         cands = e.select(normalize_label("region").alias("region_name"))
-        return insert_if_new(star.dim_region, cands, ["region_name"], "region_id")
+        return insert_if_new(star.dim_region, cands, ["region_name"], "region_id", base=base)
     if name == "dim_time":
         cands = e.select(F.col("event_time"), *calendar_parts("event_time"))
         return insert_if_new(star.dim_time, cands, ["event_time"], "time_id",
-                             existing=time_window(star.dim_time, days), reduce_existing=days is not None)
+                             existing=time_window(star.dim_time, days), reduce_existing=days is not None,
+                             base=base)
     if name == "dim_location":
         # distinct first (partial aggregation collapses a hot place map-side), then the region lookup
         keys = e.select(normalize_label("region").alias("region_label"), "latitude", "longitude",
@@ -157,10 +159,10 @@ def dimension_rows(name: str, star: Star, ods_rows: DataFrame, days: list | None
                          broadcast_max_rows=SMALL_DIM_MAX_ROWS)
         cands = located.select("region_id", "latitude", "longitude", "place")
         return insert_if_new(star.dim_location, cands, ["latitude", "longitude", "place"], "location_id",
-                             reduce_existing=days is not None)
+                             reduce_existing=days is not None, base=base)
     cols, id_col = LABEL_DIMS[name]
     cands = e.select(*[normalize_label(c).alias(c) for c in cols])
-    return insert_if_new(getattr(star, name), cands, cols, id_col)
+    return insert_if_new(getattr(star, name), cands, cols, id_col, base=base)
 
 
 def new_dimension_rows(star: Star, ods_rows: DataFrame) -> dict[str, DataFrame]:

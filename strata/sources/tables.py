@@ -8,9 +8,11 @@ copied into the table with dynamic partition overwrite, whose commit swaps only
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from strata.session import scratch_path
 
@@ -58,6 +60,37 @@ def _partition_values(files: list[str], col: str) -> set:
     return out
 
 
+@contextmanager
+def _scoped_conf(spark: SparkSession, settings: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def footer_max(spark: SparkSession, path: str, col: str) -> int:
+    """``MAX(col)`` of a Parquet table answered from file footers (row-group statistics) rather than
+    by scanning the column: the V2 Parquet scan with aggregate pushdown. 0 for an absent table."""
+    v1 = spark.conf.get("spark.sql.sources.useV1SourceList", "")
+    v2_parquet = ",".join(x for x in v1.split(",") if x.strip().lower() != "parquet")
+    with _scoped_conf(spark, {"spark.sql.sources.useV1SourceList": v2_parquet,
+                              "spark.sql.parquet.aggregatePushdown": "true"}):
+        try:
+            row = spark.read.parquet(path).agg(F.max(col)).first()
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+                return 0
+            raise
+    return int(row[0] or 0)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
