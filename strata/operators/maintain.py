@@ -124,21 +124,23 @@ def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
                  order_by: list[str] | None = None) -> DataFrame:
     """Make ``batch`` unique on ``key``.
 
-    * ``"error"``: a key present twice fails the job (the database raises "cannot affect row a second
-      time"); a NULL key fails too (primary keys are NOT NULL).
+    * ``"error"``: a key present twice fails the load (the database raises "cannot affect row a second
+      time"); a NULL key fails too (primary keys are NOT NULL). Checked by a grouped count, whose
+      partial aggregation collapses even a key holding a third of all rows before the shuffle; only
+      one offending key (if any) reaches the driver.
     * ``"latest"``: keep, per key, the row with the greatest ``order_by`` (remaining columns break
       ties so the pick is deterministic); ``max_by`` aggregates map-side, so a hot key with many
       versions is pre-combined before the shuffle.
     """
-    null_key = F.raise_error(F.lit(f"NULL key {key} in upsert batch"))
     if on_duplicate == "error":
-        w = Window.partitionBy(*key)
-        n = F.count(F.lit(1)).over(w)
-        guard = (F.when(reduce(or_, [F.col(k).isNull() for k in key]), null_key)
-                 .when(n > 1, F.raise_error(F.concat(F.lit(f"duplicate key {key} in upsert batch: "),
-                                                     F.concat_ws(",", *[F.col(k).cast("string") for k in key]))))
-                 .otherwise(F.lit(None)))
-        return batch.withColumn("__guard", guard).where(F.col("__guard").isNull()).drop("__guard")
+        null_key = reduce(or_, [F.col(k).isNull() for k in key])
+        per_key = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+        bad = per_key.where((F.col("__n") > 1) | null_key).limit(1).collect()
+        if bad:
+            row = bad[0]
+            what = "NULL key" if any(row[k] is None for k in key) else "duplicate key"
+            raise ValueError(f"{what} {key} in upsert batch: {[row[k] for k in key]} x{row['__n']}")
+        return batch
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
