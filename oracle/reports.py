@@ -162,10 +162,35 @@ DEFECTS = [
 ]
 
 
+HEALTHY = [
+    f"fact_d AS (SELECT id, {', '.join(FACT_KEYS)} FROM fact)",
+    "dim_magnitude_d AS (SELECT * FROM dim_magnitude)",
+    "dim_network_d AS (SELECT * FROM dim_network)",
+    "dim_status_d AS (SELECT * FROM dim_status)",
+    "dim_event_type_d AS (SELECT * FROM dim_event_type)",
+    "ods_d AS (SELECT * FROM ods)",
+]
+
+_healthy = False
+
+
 def defect(body: str) -> str:
+    if _healthy:
+        from oracle.blocks import STAR
+        return with_(STAR + HEALTHY, body)
     return star_with_defects(body)
 
 
+def healthy(fn):
+    """The same check SQL on the star as loaded (no defects injected)."""
+    global _healthy
+    _healthy = True
+    try:
+        return fn()
+    finally:
+        _healthy = False
+
+
 def star_with_defects(body: str) -> str:
     from oracle.blocks import STAR
     return with_(STAR + DEFECTS, body)
