@@ -120,6 +120,22 @@ def with_new_rows(dim: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 
 # O-44: duplicate keys inside one batch ----------------------------------------------------------------
+def assert_unique(df: DataFrame, key: list[str], what: str = "table") -> None:
+    """Fail when a key value occurs twice or a key part is NULL. A grouped count: its partial
+    aggregation collapses even a key holding a third of all rows map-side; at most one offending key
+    reaches the driver.
+
+    Run on an upsert's *output* (target keys unique and not NULL) it is equivalent to checking the
+    batch: a repeated or NULL batch key always yields a repeated or NULL output key."""
+    null_key = reduce(or_, [F.col(k).isNull() for k in key])
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    bad = per_key.where((F.col("__n") > 1) | null_key).limit(1).collect()
+    if bad:
+        row = bad[0]
+        kind = "NULL key" if any(row[k] is None for k in key) else "duplicate key"
+        raise ValueError(f"{kind} {key} in {what}: {[row[k] for k in key]} x{row['__n']}")
+
+
 def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
                  order_by: list[str] | None = None) -> DataFrame:
     """Make ``batch`` unique on ``key``.
@@ -128,18 +144,15 @@ def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
       time"); a NULL key fails too (primary keys are NOT NULL). Checked by a grouped count, whose
       partial aggregation collapses even a key holding a third of all rows before the shuffle; only
       one offending key (if any) reaches the driver.
+    * ``"unchecked"``: no check here; the caller runs ``assert_unique`` on the materialised output.
     * ``"latest"``: keep, per key, the row with the greatest ``order_by`` (remaining columns break
       ties so the pick is deterministic); ``max_by`` aggregates map-side, so a hot key with many
       versions is pre-combined before the shuffle.
     """
     if on_duplicate == "error":
-        null_key = reduce(or_, [F.col(k).isNull() for k in key])
-        per_key = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-        bad = per_key.where((F.col("__n") > 1) | null_key).limit(1).collect()
-        if bad:
-            row = bad[0]
-            what = "NULL key" if any(row[k] is None for k in key) else "duplicate key"
-            raise ValueError(f"{what} {key} in upsert batch: {[row[k] for k in key]} x{row['__n']}")
+        assert_unique(batch, key, "upsert batch")
+        return batch
+    if on_duplicate == "unchecked":  # the caller checks the upsert's materialised output instead
         return batch
     if on_duplicate == "latest":
         if not order_by:

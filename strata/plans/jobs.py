@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from strata import contracts as C
 from strata.functions.columns import to_day
-from strata.operators.maintain import reliable_checkpoint, replace_day, replace_days, upsert
+from strata.operators.maintain import assert_unique, reliable_checkpoint, replace_day, replace_days, upsert
 from strata.operators.validate import assert_valid, validate
 from strata.plans.model import (
     DIMENSION_ORDER, FACT_UPDATE_COLUMNS, Star, dimension_rows, fact_rows, stamp, stg_from_feed,
@@ -135,10 +135,12 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
     new_days = distinct_values(batch.select(to_day(F.col("time").try_cast("timestamp")).alias(part)), part)
     affected = sorted(set(known_days) | set(new_days), key=lambda v: (v is not None, v))
     target = ods.where(partition_filter(part, affected)).drop(part)
+    checked_later = on_duplicate == "error"  # checked on the staged output: no second pass over STG
     merged = upsert(target, standardize(batch), key=["id"], update_cols=ODS_UPDATE_COLUMNS,
-                    insert_defaults={"ods_loaded_at": stamp(now)}, on_duplicate=on_duplicate,
-                    order_by=["updated_at"])
-    rewrite_partitions(spark, merged.withColumn(part, to_day("event_time")), wh.ods, part, affected)
+                    insert_defaults={"ods_loaded_at": stamp(now)},
+                    on_duplicate="unchecked" if checked_later else on_duplicate, order_by=["updated_at"])
+    rewrite_partitions(spark, merged.withColumn(part, to_day("event_time")), wh.ods, part, affected,
+                       check=(lambda staged: assert_unique(staged, ["id"], C.ODS.name)) if checked_later else None)
 
 
 # O-50 -------------------------------------------------------------------------------------------
@@ -162,13 +164,14 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
         star = star.with_(**{name: read_layer(spark, wh.dm(name), DIM_TABLES[name])})
     batch = fact_rows(star, rows, now, ds)
     fact = upsert(fact_part, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,
-                  touch={"dwh_loaded_at": stamp(now)})
+                  touch={"dwh_loaded_at": stamp(now)}, on_duplicate="unchecked")
     if check:
         fact = reliable_checkpoint(fact)
         tables = {c.name: (getattr(star, k), c) for k, c in DIM_TABLES.items()}
         tables[C.FACT.name] = (fact, C.FACT)
         assert_valid(validate(tables))
-    rewrite_partitions(spark, fact, wh.dm("fact_earthquakes"), C.FACT.partition_by, ds)
+    rewrite_partitions(spark, fact, wh.dm("fact_earthquakes"), C.FACT.partition_by, ds,
+                       check=lambda staged: assert_unique(staged, ["id"], C.FACT.name))
 
 
 # O-51 / O-52 --------------------------------------------------------------------------------------

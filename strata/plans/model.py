@@ -210,13 +210,13 @@ def fact_rows(star: Star, ods_rows: DataFrame, now: dt.datetime | None = None, d
 FACT_UPDATE_COLUMNS = C.FACT_KEYS + [c for c, _ in C.FACT_MEASURES] + ["event_date"]
 
 
-def load_dm_frames(star: Star, ods: DataFrame, days: list | None, now: dt.datetime | None = None
-                   ) -> tuple[Star, dict[str, DataFrame], DataFrame]:
+def load_dm_frames(star: Star, ods: DataFrame, days: list | None, now: dt.datetime | None = None,
+                   on_duplicate: str = "error") -> tuple[Star, dict[str, DataFrame], DataFrame]:
     """O-50 as frames: (star with new dimension rows, the new rows per dimension, the upserted fact)."""
     rows = ods_for_days(ods, days)
     new = new_dimension_rows(star, rows)
     star2 = add_dimension_rows(star, new)
     batch = fact_rows(star2, rows, now)
     fact = upsert(star.fact, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,
-                  touch={"dwh_loaded_at": stamp(now)})
+                  touch={"dwh_loaded_at": stamp(now)}, on_duplicate=on_duplicate)
     return star2.with_(fact=fact), new, batch

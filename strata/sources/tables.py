@@ -38,11 +38,15 @@ def _drop_partition_dirs(spark: SparkSession, path: str, col: str, values: list)
             fs.delete(p, True)
 
 
-def rewrite_partitions(spark: SparkSession, df: DataFrame, path: str, col: str, affected: list) -> None:
-    """Replace exactly the ``affected`` partitions of the table at ``path`` with the rows of ``df``."""
+def rewrite_partitions(spark: SparkSession, df: DataFrame, path: str, col: str, affected: list,
+                       check=None) -> None:
+    """Replace exactly the ``affected`` partitions of the table at ``path`` with the rows of ``df``.
+    ``check`` (optional) runs on the staged rows before the swap; if it raises, the table is untouched."""
     staging = scratch_path(spark, "stage")
     df.write.mode("overwrite").partitionBy(col).parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
+    if check is not None:
+        check(staged)
     written = _partition_values(staged.inputFiles(), col)  # from the file listing, no job
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(col).parquet(path))
     emptied = [v for v in affected if v not in written]
