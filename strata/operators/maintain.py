@@ -37,12 +37,14 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return fixed
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it back: one job, lineage
-    cut, and the result has file statistics (size-based join planning) and columnar pruning."""
+    cut, and the result has file statistics (size-based join planning), columnar pruning and, with
+    ``partition_by``, partition pruning."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def assign_ids(keys: DataFrame, key_cols: list[str], id_col: str, base: int = 0,

@@ -281,7 +281,8 @@ def _second_star(spark, sf):
         _, _, star = first_load(spark, sf)
         ods2 = second_load(spark, sf)
         star2, _, _ = load_dm_frames(star, ods2, None, FIXED_NOW, on_duplicate="unchecked")
-        _second[key] = star2.__class__(**{k: M.materialize(v, k) for k, v in star2.__dict__.items()})
+        _second[key] = star2.__class__(**{k: M.materialize(v, k, "event_date" if k == "fact" else None)
+                                          for k, v in star2.__dict__.items()})
         M.assert_unique(_second[key].fact, ["id"], "dm.fact_earthquakes")
     return _second[key]
 
