@@ -21,7 +21,9 @@ a Parquet table that Spark commits with the job: files of lost or repeated attem
 from __future__ import annotations
 
 import json
+import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,7 +39,7 @@ from strata.llm.common import fs_path, staged
 from strata.session import scratch_path
 
 END_ID = 1
-_CACHE_WORDS = 300_000  # a batch may add its own words once
+_CACHE_WORDS = 400_000  # a batch may add its own words once
 _HEAD = "<qIB"
 MANIFEST = "file string, least long, n_docs long, n_tokens long, n_bytes long, part int"
 
@@ -56,40 +58,91 @@ def drops_blanks(spec: dict) -> bool:
     split = (pre.get("pretokenizers") or [pre])[0]
     pattern = (split.get("pattern") or {}).get("Regex", "")
     return (r'"Regex": "\\s+"' in norm and split.get("type") == "Split" and split.get("behavior") == "Removed"
-            and split.get("invert") is True and pattern.endswith(r"|[^\s\p{L}\p{N}]+") and not spec.get("post_processor"))
+            and split.get("invert") is True and pattern.endswith(r"|[^\s\p{L}\p{N}]+") and not spec.get("post_processor")
+            and any(n.get("type") == "Lowercase" for n in (spec["normalizer"].get("normalizers") or []))
+            and all(not t["content"].isupper() and t["content"].startswith("<|") for t in spec.get("added_tokens", [])))
+
+
+def maps_bytes(spec: dict) -> bool:
+    """True if the pieces are then written byte by byte in the byte-level alphabet and split no further."""
+    rest = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [])[1:]
+    return len(rest) == 1 and rest[0].get("type") == "ByteLevel" and not rest[0].get("add_prefix_space") and rest[0].get("use_regex") is False
+
+
+def _byte_alphabet() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
 class Encoder:
     """Encodes whole texts. Where words are encoded on their own, each different word is encoded once
-    and kept, up to a bound; other tokenizers get the whole text."""
+    and kept, up to a bound; other tokenizers get the whole text.
+
+    Lower-case letters of the Latin blocks need neither normalising nor splitting, so words of these (and
+    of sentence marks behind them) go to the same model without the steps before it.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
-            self.by_word = drops_blanks(json.load(f))
+            spec = json.load(f)
+        self.by_word = drops_blanks(spec)
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
+        self.letters: dict[bytes, bytes] = {}
         zero = self._ids("0") if self.by_word else []
         self.zero = zero[0] if len(zero) == 1 else None
+        self.alphabet, self.bare = _byte_alphabet(), None
+        if self.zero is not None and maps_bytes(spec):
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _listed(self, tokenizer, keys: list[bytes], written: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of many texts in few calls: between two stands a 0, whose id no text without a 0 has."""
+        out, size = {}, self.dtype.itemsize
+        parts = range(0, len(keys), 128)
+        texts = [b" 0 ".join(written[i:i + 128]).decode() + " 0" for i in parts]
+        for i, e in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self.dtype)
+            ends = np.flatnonzero(ids == self.zero) * size
+            raw = ids.tobytes()
+            out.update(zip(keys[i:i + 128], [raw[x:y] for x, y in zip([0, *(ends[:-1] + size).tolist()], ends.tolist())], strict=True))
+        return out
+
+    def _rewritten(self, word: bytes) -> bytes | None:
+        """The word in the byte-level alphabet (as UTF-8), if it is lower-case Latin letters throughout."""
+        text = word.decode()
+        if text.isalpha() and max(text) <= "\u017f" and text == text.lower() and unicodedata.is_normalized("NFC", text):
+            return "".join([self.alphabet[b] for b in word]).encode()
+        return None
+
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of the words, many in one call: between two words stands a 0, whose id no word without a 0 has."""
-        plain = [w for w in words if b"0" not in w] if self.zero is not None else []
-        out = {}
-        for i in range(0, len(plain), 4096):
-            part = plain[i:i + 4096]
-            ids = np.array(self._ids(" 0 ".join([w.decode() for w in part]) + " 0"), dtype=self.dtype)
-            raw, size = ids.tobytes(), self.dtype.itemsize
-            ends = np.flatnonzero(ids == self.zero).tolist()
-            start = 0
-            for w, end in zip(part, ends, strict=True):
-                out[w] = raw[start * size:end * size]
-                start = end + 1
+        out: dict[bytes, bytes] = {}
+        rest = list(words)
+        if self.bare is not None:
+            letters = self.letters
+            cores = [w.rstrip(b".,;:!?") for w in rest]
+            new = set(cores) - letters.keys()
+            new.discard(b"")
+            plain = [c for c in new if c.isalpha() and c.islower()]  # ASCII: its own byte-level alphabet
+            letters.update(self._listed(self.bare, plain, plain))
+            other = [(c, x) for c in new if not c.isascii() and (x := self._rewritten(c))]
+            letters.update(self._listed(self.bare, [c for c, _ in other], [x for _, x in other]))
+            tails = {w[len(c):] for w, c in zip(rest, cores)}
+            marks = {t: np.array(self._ids(t.decode()), dtype=self.dtype).tobytes() for t in tails}
+            out = {w: letters[c] + marks[w[len(c):]] for w, c in zip(rest, cores) if c in letters}
+            rest = [w for w, c in zip(rest, cores) if c not in letters]
+        if self.zero is not None:
+            plain = [w for w in rest if b"0" not in w]
+            out.update(self._listed(self.tokenizer, plain, plain))
         for w in words - out.keys():
             out[w] = np.array(self._ids(w.decode()), dtype=self.dtype).tobytes()
         return out
@@ -100,9 +153,11 @@ class Encoder:
             for t in texts:
                 yield np.array(self._ids(t.decode()), dtype=self.dtype).tobytes()
             return
-        split = [t.split() for t in texts]  # on bytes: ASCII blanks only
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
+        # on bytes: ASCII letters and blanks only. Special tokens are looked for before letters are lowered
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        for kept in (self.known, self.letters):
+            if len(kept) > _CACHE_WORDS:
+                kept.clear()
         self.known.update(self._learn(set().union(*split) - self.known.keys()))
         get = self.known.__getitem__
         for words in split:
