@@ -39,7 +39,7 @@ from strata.llm.common import fs_path, staged
 from strata.session import scratch_path
 
 END_ID = 1
-_CACHE_WORDS = 400_000  # a batch may add its own words once
+_CACHE_WORDS, _CACHE_LETTERS = 400_000, 1_000_000  # a batch may add its own words once
 _HEAD = "<qIB"
 MANIFEST = "file string, least long, n_docs long, n_tokens long, n_bytes long, part int"
 
@@ -99,24 +99,31 @@ class Encoder:
         self.zero = zero[0] if len(zero) == 1 else None
         self.alphabet, self.bare = _byte_alphabet(), None
         if self.zero is not None and maps_bytes(spec):
-            self.bare = Tokenizer(self.tokenizer.model)
-            self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+            suffix = self.tokenizer.model.end_of_word_suffix
+            if suffix:  # the last id of a word says so
+                self.bare = Tokenizer(self.tokenizer.model)
+                self.bare.pre_tokenizer = pre_tokenizers.Split(" ", "removed")
+                self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+                self.last[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _listed(self, tokenizer, keys: list[bytes], written: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of many texts in few calls: between two stands a 0, whose id no text without a 0 has."""
-        out, size = {}, self.dtype.itemsize
+    def _listed(self, tokenizer, keys: list[bytes], written: list[bytes], between: bytes, ends_at) -> dict[bytes, bytes]:
+        """Ids of many texts in few calls. ``ends_at`` finds where a text's ids end; ``between`` may be a word of its own there."""
+        out, size, gap = {}, self.dtype.itemsize, self.dtype.itemsize * (between != b" ")
         parts = range(0, len(keys), 128)
-        texts = [b" 0 ".join(written[i:i + 128]).decode() + " 0" for i in parts]
+        texts = [(between.join(written[i:i + 128]) + between).decode() for i in parts]
         for i, e in zip(parts, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, dtype=self.dtype)
-            ends = np.flatnonzero(ids == self.zero) * size
+            ends = np.flatnonzero(ends_at(ids)) * size + (size - gap)
             raw = ids.tobytes()
-            out.update(zip(keys[i:i + 128], [raw[x:y] for x, y in zip([0, *(ends[:-1] + size).tolist()], ends.tolist())], strict=True))
+            out.update(zip(keys[i:i + 128], [raw[x:y] for x, y in zip([0, *(ends[:-1] + gap).tolist()], ends.tolist())], strict=True))
         return out
 
+    def _words(self, keys: list[bytes], written: list[bytes]) -> dict[bytes, bytes]:
+        return self._listed(self.bare, keys, written, b" ", lambda ids: self.last[ids])
+
     def _rewritten(self, word: bytes) -> bytes | None:
         """The word in the byte-level alphabet (as UTF-8), if it is lower-case Latin letters throughout."""
         text = word.decode()
@@ -133,16 +140,16 @@ class Encoder:
             new = set(cores) - letters.keys()
             new.discard(b"")
             plain = [c for c in new if c.isalpha() and c.islower()]  # ASCII: its own byte-level alphabet
-            letters.update(self._listed(self.bare, plain, plain))
+            letters.update(self._words(plain, plain))
             other = [(c, x) for c in new if not c.isascii() and (x := self._rewritten(c))]
-            letters.update(self._listed(self.bare, [c for c, _ in other], [x for _, x in other]))
+            letters.update(self._words([c for c, _ in other], [x for _, x in other]))
             tails = {w[len(c):] for w, c in zip(rest, cores)}
             marks = {t: np.array(self._ids(t.decode()), dtype=self.dtype).tobytes() for t in tails}
             out = {w: letters[c] + marks[w[len(c):]] for w, c in zip(rest, cores) if c in letters}
             rest = [w for w, c in zip(rest, cores) if c not in letters]
         if self.zero is not None:
-            plain = [w for w in rest if b"0" not in w]
-            out.update(self._listed(self.tokenizer, plain, plain))
+            plain = [w for w in rest if b"0" not in w]  # between two a 0, whose id these don't have
+            out.update(self._listed(self.tokenizer, plain, plain, b" 0 ", lambda ids: ids == self.zero))
         for w in words - out.keys():
             out[w] = np.array(self._ids(w.decode()), dtype=self.dtype).tobytes()
         return out
@@ -155,8 +162,8 @@ class Encoder:
             return
         # on bytes: ASCII letters and blanks only. Special tokens are looked for before letters are lowered
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        for kept in (self.known, self.letters):
-            if len(kept) > _CACHE_WORDS:
+        for kept, bound in ((self.known, _CACHE_WORDS), (self.letters, _CACHE_LETTERS)):
+            if len(kept) > bound:
                 kept.clear()
         self.known.update(self._learn(set().union(*split) - self.known.keys()))
         get = self.known.__getitem__
