@@ -22,8 +22,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
-import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -39,7 +39,7 @@ from strata.llm.common import fs_path, staged
 from strata.session import scratch_path
 
 END_ID = 1
-_CACHE_WORDS, _CACHE_LETTERS = 400_000, 1_000_000  # a batch may add its own words once
+_CACHE_WORDS = 600_000  # a batch may add its own words once
 _HEAD = "<qIB"
 MANIFEST = "file string, least long, n_docs long, n_tokens long, n_bytes long, part int"
 
@@ -76,12 +76,36 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+#: Lower-case letters of ASCII and Latin-1, in UTF-8: composed already, and lower case as they are.
+_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(97, 123)]] = True
+_ENDS = np.zeros(256, bool)
+_ENDS[[9, 10, 11, 12, 13, 32]] = True
+
+
+def apart(text: bytes) -> bytes:
+    """The text with a blank before each full stop and comma, if each stands between a letter or digit
+    and a blank or the end: it is a piece of its own then, and words with and without it become one."""
+    b = np.frombuffer(text, dtype=np.uint8)
+    at = np.flatnonzero((b == 46) | (b == 44))
+    if not len(at):
+        return text
+    last = at[-1] == len(b) - 1
+    if at[0] < 2 or not _ENDS[b[at[:len(at) - last] + 1]].all():
+        return text
+    before = b[at - 1]
+    if not (_ALNUM[before] | ((b[at - 2] == 0xC3) & (before >= 0x9F) & (before != 0xB7))).all():
+        return text
+    return text.replace(b".", b" .").replace(b",", b" ,")
+
+
 class Encoder:
     """Encodes whole texts. Where words are encoded on their own, each different word is encoded once
     and kept, up to a bound; other tokenizers get the whole text.
 
-    Lower-case letters of the Latin blocks need neither normalising nor splitting, so words of these (and
-    of sentence marks behind them) go to the same model without the steps before it.
+    Lower-case Latin letters need neither normalising nor splitting, so words of these go to the same
+    model without the steps before it.
     """
 
     def __init__(self, path: str):
@@ -94,10 +118,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[bytes, bytes] = {}
-        self.letters: dict[bytes, bytes] = {}
         zero = self._ids("0") if self.by_word else []
         self.zero = zero[0] if len(zero) == 1 else None
-        self.alphabet, self.bare = _byte_alphabet(), None
+        self.alphabet, self.bare = {b: c for b, c in enumerate(_byte_alphabet()) if b != 32}, None
         if self.zero is not None and maps_bytes(spec):
             suffix = self.tokenizer.model.end_of_word_suffix
             if suffix:  # the last id of a word says so
@@ -124,31 +147,15 @@ class Encoder:
     def _words(self, keys: list[bytes], written: list[bytes]) -> dict[bytes, bytes]:
         return self._listed(self.bare, keys, written, b" ", lambda ids: self.last[ids])
 
-    def _rewritten(self, word: bytes) -> bytes | None:
-        """The word in the byte-level alphabet (as UTF-8), if it is lower-case Latin letters throughout."""
-        text = word.decode()
-        if text.isalpha() and max(text) <= "\u017f" and text == text.lower() and unicodedata.is_normalized("NFC", text):
-            return "".join([self.alphabet[b] for b in word]).encode()
-        return None
-
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
-        rest = list(words)
         if self.bare is not None:
-            letters = self.letters
-            cores = [w.rstrip(b".,;:!?") for w in rest]
-            new = set(cores) - letters.keys()
-            new.discard(b"")
-            plain = [c for c in new if c.isalpha() and c.islower()]  # ASCII: its own byte-level alphabet
-            letters.update(self._words(plain, plain))
-            other = [(c, x) for c in new if not c.isascii() and (x := self._rewritten(c))]
-            letters.update(self._words([c for c, _ in other], [x for _, x in other]))
-            tails = {w[len(c):] for w, c in zip(rest, cores)}
-            marks = {t: np.array(self._ids(t.decode()), dtype=self.dtype).tobytes() for t in tails}
-            out = {w: letters[c] + marks[w[len(c):]] for w, c in zip(rest, cores) if c in letters}
-            rest = [w for w, c in zip(rest, cores) if c not in letters]
+            ascii_ = [w for w in words if w.isalpha() and w.islower()]  # its own byte-level alphabet
+            out.update(self._words(ascii_, ascii_))
+            latin = [w for w in words - out.keys() if _LATIN(w)]
+            out.update(self._words(latin, b" ".join(latin).decode("latin-1").translate(self.alphabet).encode().split(b" ") if latin else []))
         if self.zero is not None:
-            plain = [w for w in rest if b"0" not in w]  # between two a 0, whose id these don't have
+            plain = [w for w in words - out.keys() if b"0" not in w]  # between two a 0, whose id these don't have
             out.update(self._listed(self.tokenizer, plain, plain, b" 0 ", lambda ids: ids == self.zero))
         for w in words - out.keys():
             out[w] = np.array(self._ids(w.decode()), dtype=self.dtype).tobytes()
@@ -161,10 +168,9 @@ class Encoder:
                 yield np.array(self._ids(t.decode()), dtype=self.dtype).tobytes()
             return
         # on bytes: ASCII letters and blanks only. Special tokens are looked for before letters are lowered
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        for kept, bound in ((self.known, _CACHE_WORDS), (self.letters, _CACHE_LETTERS)):
-            if len(kept) > bound:
-                kept.clear()
+        split = [(t if b"<|" in t else apart(t.lower())).split() for t in texts]
+        if len(self.known) > _CACHE_WORDS:
+            self.known.clear()
         self.known.update(self._learn(set().union(*split) - self.known.keys()))
         get = self.known.__getitem__
         for words in split:
