@@ -166,15 +166,16 @@ def blocks_of(benchmark: DataFrame, id_col: str = "item_id", text: str = "text",
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW,
-         block_words: int = BLOCK_WORDS) -> DataFrame:
+         block_words: int = BLOCK_WORDS, finish=None) -> DataFrame:
     """The rows of ``docs`` with ``_n_words``, ``_hits`` (word positions start, end, start, end, ...,
-    merged) and ``_items`` (ids of the items hit, sorted as strings). Null texts have no words."""
+    merged) and ``_items`` (ids of the items hit, sorted as strings). Null texts have no words.
+    ``finish`` makes an Arrow batch of these, behind the last block, one of the columns of ``docs`` alone."""
     spark = docs.sparkSession
     at = docs.columns.index(text)
     names = [*docs.columns, *_INTERNAL.names]
     schema = T.StructType([*docs.schema.fields, *_INTERNAL.fields])
 
-    def matcher(automaton, first: bool):
+    def matcher(automaton, first: bool, end):
         def run(batches):
             a = automaton.value
             for batch in batches:
@@ -190,17 +191,19 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int
                     counts.append(len(words))
                     spans.append([x for pair in s for x in pair])
                     items.append(sorted(found))
-                yield pa.RecordBatch.from_arrays(
+                found = pa.RecordBatch.from_arrays(
                     [*batch.columns[:n], pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
                      pa.array(items, pa.list_(pa.string()))], names=names)
+                yield end(found) if end else found
 
         return run
 
+    made = [spark.sparkContext.broadcast(SuffixAutomaton(b, window)) for b in blocks_of(benchmark, block_words=block_words)]
+    made = made or [spark.sparkContext.broadcast(SuffixAutomaton([], window))]  # an empty benchmark
     out = docs
-    for i, block in enumerate(blocks_of(benchmark, text="text", block_words=block_words)):
-        out = out.mapInArrow(matcher(spark.sparkContext.broadcast(SuffixAutomaton(block, window)), i == 0), schema)
-    if out is docs:  # an empty benchmark
-        out = docs.mapInArrow(matcher(spark.sparkContext.broadcast(SuffixAutomaton([], window)), True), schema)
+    for i, automaton in enumerate(made):
+        end = finish if i == len(made) - 1 else None
+        out = out.mapInArrow(matcher(automaton, i == 0, end), docs.schema if end else schema)
     return out
 
 
@@ -242,26 +245,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", len
     spans (length limit); ``length_col``, if there, follows the new text. Rows without a hit are
     returned as they are, null texts included."""
     names = docs.columns
-    at, schema = names.index(text), docs.schema
-    h = hits(docs, benchmark, text, window, block_words)
-    kept = h.where(~contaminated(_n_hit(), F.col("_n_words"), max_share))
-
-    def run(batches):
-        for batch in batches:
-            n = len(names)
-            hit = [i for i, x in enumerate(batch.column(n + 1).to_pylist()) if x]
-            cols = list(batch.columns[:n])
-            if hit:
-                texts, spans = cols[at].cast(pa.binary()).to_pylist(), batch.column(n + 1).to_pylist()
+    at, n = names.index(text), len(names)
+
+    def finish(batch):
+        spans = batch.column(n + 1).to_pylist()
+        n_hit = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+        kept = [not (h > 0 and max_share * h >= w) for h, w in zip(n_hit, batch.column(n).to_pylist())]
+        batch, spans = batch.filter(pa.array(kept, pa.bool_())), [s for s, k in zip(spans, kept) if k]
+        cols, hit = list(batch.columns[:n]), [i for i, s in enumerate(spans) if s]
+        if hit:
+            texts = cols[at].cast(pa.binary()).to_pylist()
+            for i in hit:
+                texts[i] = cut(texts[i], spans[i])
+            cols[at] = pa.array(texts, pa.binary()).cast(cols[at].type)
+            if length_col in names:
+                c = names.index(length_col)
+                lengths = cols[c].to_pylist()
                 for i in hit:
-                    texts[i] = cut(texts[i], spans[i])
-                cols[at] = pa.array(texts, pa.binary()).cast(pa.string())
-                if length_col in names:
-                    c = names.index(length_col)
-                    lengths = cols[c].to_pylist()
-                    for i in hit:
-                        lengths[i] = len(texts[i].decode())
-                    cols[c] = pa.array(lengths, cols[c].type)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return kept.mapInArrow(run, schema)
+                    lengths[i] = len(texts[i].decode())
+                cols[c] = pa.array(lengths, cols[c].type)
+        return pa.RecordBatch.from_arrays(cols, names=names)
+
+    return hits(docs, benchmark, text, window, block_words, finish)

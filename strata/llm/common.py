@@ -13,7 +13,7 @@ from strata.session import configure, scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of one Arrow batch: bounds a Python worker's memory when every text is long.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:

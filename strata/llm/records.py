@@ -39,7 +39,8 @@ from strata.llm.common import fs_path, staged
 from strata.session import scratch_path
 
 END_ID = 1
-_CACHE_WORDS = 600_000  # a batch may add its own words once
+_CACHE_WORDS = 600_000  # a call may add its own words once
+_ENCODED = 256  # texts of one call
 _HEAD = "<qIB"
 MANIFEST = "file string, least long, n_docs long, n_tokens long, n_bytes long, part int"
 
@@ -218,8 +219,9 @@ def write_records(docs: DataFrame, tokenizer: str, path: str | None = None, id_c
                 fs.create_dir(base, recursive=True)
                 name = f"part-{part:06d}-{uuid.uuid4().hex}"
                 out, least = fs.open_output_stream(f"{base}/{name}.rec"), batch.column(0)[0].as_py()
-            ids = batch.column(0).to_pylist()
-            for doc, raw in zip(ids, enc.encode(batch.column(1).cast(pa.binary()).to_pylist())):
+            texts = batch.column(1).cast(pa.binary())
+            encoded = (x for i in range(0, len(texts), _ENCODED) for x in enc.encode(texts.slice(i, _ENCODED).to_pylist()))
+            for doc, raw in zip(batch.column(0).to_pylist(), encoded):
                 raw += end
                 n = len(raw) // size
                 payload = struct.pack(_HEAD, doc, n, size) + pack.compress(raw)
