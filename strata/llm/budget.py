@@ -94,14 +94,14 @@ def select_prefix(rows: DataFrame, budgets: DataFrame, seed: int = SEED, max_epo
         "_part", F.substring("_rank", 1, PREFIX_HEX))
     sums = mixed.groupBy(*LEVELS, "epoch", "_left", "_part").agg(F.sum("tokens").alias("_sum"))
     before = Window.partitionBy(*LEVELS, "epoch").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = staged(sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast("long"))
-                   .where("_before < _left").select(*LEVELS, "epoch", "_part", "_before", (F.col("_before") + F.col("_sum") < F.col("_left")).alias("_all")), "mix-parts")
-    took = mixed.join(parts, [*LEVELS, "epoch", "_part"])
+    reached = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast("long")).where("_before < _left")
+    cut = staged(reached.groupBy(*LEVELS, "epoch").agg(F.max(F.struct("_part", "_before")).alias("_cut")), "mix-cuts")  # a row per leaf and epoch
+    took = mixed.join(cut, [*LEVELS, "epoch"])
     inside = Window.partitionBy(*LEVELS, "epoch").orderBy("_rank", "tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = took.where("not _all").withColumn("_prior", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
+    edge = took.where("_part = _cut._part").withColumn("_prior", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
     cols = [*rows.columns, "epoch"]
-    return (full.select(*cols).unionByName(took.where("_all").select(*cols))
-            .unionByName(edge.where("_before + _prior < _left").select(*cols)))
+    return (full.select(*cols).unionByName(took.where("_part < _cut._part").select(*cols))
+            .unionByName(edge.where("_cut._before + _prior < _left").select(*cols)))
 
 
 def token_count(text: Column) -> Column:

@@ -223,7 +223,8 @@ def verdicts(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     groups = staged(_groups(good, min_rows), "mcd-groups")
     model = estimate(good.join(groups, ["_lang", "_source"]))
     enough = staged(good.join(groups, ["_lang", "_source"]).groupBy("_group").agg(F.count("*").alias("_n")), "mcd-sizes")
-    judged = groups.join(model, "_group").join(enough, "_group").where(F.col("_n") >= min_rows)
+    # staged, so that its size is known when the rows, with their texts, are joined to it
+    judged = staged(groups.join(model, "_group").join(enough, "_group").where(F.col("_n") >= min_rows), "mcd-judged")
     out = rows.join(judged, ["_lang", "_source"], "left")
     d2 = _distance([F.col(x) for x in _X])
     return out.withColumn("distance", F.when(~F.col("base_failed"), d2)).withColumn(
