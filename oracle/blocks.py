@@ -104,27 +104,27 @@ def dims(src: str = "ods") -> list[str]:
     """The seven dimension CTEs over the dated rows of ``src`` (first load: ids from 1)."""
     rows = f"(SELECT * FROM {src} WHERE event_time IS NOT NULL)"
     return [
-        f"""dim_region AS (SELECT CAST(row_number() OVER (ORDER BY region_name NULLS FIRST) AS INTEGER) AS region_id,
+        f"""dim_region AS (SELECT CAST(row_number() OVER (ORDER BY region_name NULLS FIRST) AS BIGINT) AS region_id,
     region_name FROM (SELECT DISTINCT {norm('region')} AS region_name FROM {rows}))""",
-        f"""dim_time AS (SELECT CAST(row_number() OVER (ORDER BY event_time NULLS FIRST) AS INTEGER) AS time_id,
+        f"""dim_time AS (SELECT CAST(row_number() OVER (ORDER BY event_time NULLS FIRST) AS BIGINT) AS time_id,
     event_time, CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
     CAST(day(event_time) AS INTEGER) AS day, CAST(hour(event_time) AS INTEGER) AS hour,
     CAST(quarter(event_time) AS INTEGER) AS quarter, rpad(dayname(event_time), 9, ' ') AS day_of_week,
     dayofweek(event_time) IN (0, 6) AS is_weekend
   FROM (SELECT DISTINCT event_time FROM {rows}))""",
         f"""dim_location AS (SELECT CAST(row_number() OVER (ORDER BY latitude NULLS FIRST, longitude NULLS FIRST,
-      place NULLS FIRST) AS INTEGER) AS location_id, region_id, latitude, longitude, place
+      place NULLS FIRST) AS BIGINT) AS location_id, region_id, latitude, longitude, place
   FROM (SELECT DISTINCT r.region_id, e.latitude, e.longitude, {norm('e.place')} AS place
         FROM {rows} e LEFT JOIN dim_region r ON r.region_name = {norm('e.region')}))""",
         f"""dim_magnitude AS (SELECT CAST(row_number() OVER (ORDER BY mag_type NULLS FIRST, mag_source NULLS FIRST)
-      AS INTEGER) AS mag_type_id, mag_type, mag_source
+      AS BIGINT) AS mag_type_id, mag_type, mag_source
   FROM (SELECT DISTINCT {norm('mag_type')} AS mag_type, {norm('mag_source')} AS mag_source FROM {rows}))""",
         f"""dim_network AS (SELECT CAST(row_number() OVER (ORDER BY net NULLS FIRST, location_source NULLS FIRST)
-      AS INTEGER) AS network_id, net, location_source
+      AS BIGINT) AS network_id, net, location_source
   FROM (SELECT DISTINCT {norm('net')} AS net, {norm('location_source')} AS location_source FROM {rows}))""",
-        f"""dim_status AS (SELECT CAST(row_number() OVER (ORDER BY status NULLS FIRST) AS INTEGER) AS status_id, status
+        f"""dim_status AS (SELECT CAST(row_number() OVER (ORDER BY status NULLS FIRST) AS BIGINT) AS status_id, status
   FROM (SELECT DISTINCT {norm('status')} AS status FROM {rows}))""",
-        f"""dim_event_type AS (SELECT CAST(row_number() OVER (ORDER BY event_type NULLS FIRST) AS INTEGER)
+        f"""dim_event_type AS (SELECT CAST(row_number() OVER (ORDER BY event_type NULLS FIRST) AS BIGINT)
       AS event_type_id, event_type FROM (SELECT DISTINCT {norm('event_type')} AS event_type FROM {rows}))""",
     ]
 

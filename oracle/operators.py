@@ -53,7 +53,7 @@ def _new_rows(dim: str, id_col: str, keys: list[str], select_cands: str, extra:
     match = " AND ".join(f"d.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)
     cols = ", ".join(["c." + k for k in keys] + ([f"c.{x.strip()}" for x in extra.split(",")] if extra else []))
     return f"""{dim}2 AS (SELECT * FROM {dim} UNION ALL BY NAME
-  SELECT CAST((SELECT COALESCE(max({id_col}), 0) FROM {dim}) + row_number() OVER (ORDER BY {order}) AS INTEGER)
+  SELECT CAST((SELECT COALESCE(max({id_col}), 0) FROM {dim}) + row_number() OVER (ORDER BY {order}) AS BIGINT)
       AS {id_col}, {cols}
   FROM ({select_cands}) c WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE {match}))"""
 
@@ -101,33 +101,47 @@ def joined_back(src: str = "ods", where: str = "") -> str:
 
 
 # O-46 -----------------------------------------------------------------------------------------------
+# The declared rules of the source tables, written down here on their own, so that a rule missing
+# in the library shows. (relation, key, natural key, other NOT NULL columns, lengths, foreign keys)
+RULES = {
+    "ods.earthquakes": ("ods_d", ["id"], [], [], {"id": 50, "mag_type": 20, "net": 10, "event_type": 50, "status": 20,
+                                                  "location_source": 10, "mag_source": 10}, {}),
+    "dm.dim_time": ("dim_time", ["time_id"], ["event_time"], ["event_time"], {"day_of_week": 10}, {}),
+    "dm.dim_region": ("dim_region", ["region_id"], ["region_name"], ["region_name"], {}, {}),
+    "dm.dim_location": ("dim_location", ["location_id"], ["latitude", "longitude", "place"], [], {},
+                        {"region_id": ("dim_region", "region_id")}),
+    "dm.dim_magnitude": ("dim_magnitude_d", ["mag_type_id"], ["mag_type", "mag_source"], ["mag_type", "mag_source"],
+                         {"mag_type": 20, "mag_source": 10}, {}),
+    "dm.dim_network": ("dim_network_d", ["network_id"], ["net", "location_source"], ["net", "location_source"],
+                       {"net": 10, "location_source": 10}, {}),
+    "dm.dim_status": ("dim_status_d", ["status_id"], ["status"], ["status"], {"status": 20}, {}),
+    "dm.dim_event_type": ("dim_event_type_d", ["event_type_id"], ["event_type"], ["event_type"], {"event_type": 50}, {}),
+    "dm.fact_earthquakes": ("fact_d", ["id"], [], [], {"id": 50}, {
+        "time_id": ("dim_time", "time_id"), "location_id": ("dim_location", "location_id"),
+        "mag_type_id": ("dim_magnitude_d", "mag_type_id"), "network_id": ("dim_network_d", "network_id"),
+        "status_id": ("dim_status_d", "status_id"), "event_type_id": ("dim_event_type_d", "event_type_id")}),
+}
+
+
 def validate_sql() -> str:
-    from strata import contracts as C
-    names = {C.ODS.name: "ods_d", "dm.dim_time": "dim_time", "dm.dim_location": "dim_location",
-             "dm.dim_region": "dim_region", "dm.dim_magnitude": "dim_magnitude_d", "dm.dim_network": "dim_network_d",
-             "dm.dim_status": "dim_status_d", "dm.dim_event_type": "dim_event_type_d", C.FACT.name: "fact_d"}
     parts = []
-    for cname, rel in names.items():
-        c = C.contract(cname)
-
+    for cname, (rel, key, natural, not_null, lengths, refs) in RULES.items():
         def row(rule, col, expr):
             parts.append(f"SELECT '{cname}' AS table_name, '{rule}' AS rule, '{col}' AS column_name, "
                          f"CAST(({expr}) AS BIGINT) AS violations")
-        for col in c.not_null:
+        for col in [*key, *not_null]:
             row("not_null", col, f"SELECT COUNT(*) FROM {rel} WHERE {col} IS NULL")
-        for col, n in c.max_length.items():
+        for col, n in lengths.items():
             row("max_length", col, f"SELECT COUNT(*) FROM {rel} WHERE length({col}) > {n}")
-        if c.key:
-            k = ", ".join(c.key)
-            row("primary_key_unique", ",".join(c.key),
-                f"SELECT COUNT(*) FROM (SELECT {k} FROM {rel} GROUP BY {k} HAVING COUNT(*) > 1)")
-        if c.natural_key:
-            k = ", ".join(c.natural_key)
-            nn = " AND ".join(f"{x} IS NOT NULL" for x in c.natural_key)
-            row("unique", ",".join(c.natural_key),
+        k = ", ".join(key)
+        row("primary_key_unique", ",".join(key),
+            f"SELECT COUNT(*) FROM (SELECT {k} FROM {rel} GROUP BY {k} HAVING COUNT(*) > 1)")
+        if natural:
+            k = ", ".join(natural)
+            nn = " AND ".join(f"{x} IS NOT NULL" for x in natural)
+            row("unique", ",".join(natural),
                 f"SELECT COUNT(*) FROM (SELECT {k} FROM {rel} WHERE {nn} GROUP BY {k} HAVING COUNT(*) > 1)")
-        for col, (ref_table, ref_col) in c.foreign_keys.items():
-            ref = names[ref_table]
+        for col, (ref, ref_col) in refs.items():
             row("foreign_key", col, f"SELECT COUNT(*) FROM {rel} t WHERE t.{col} IS NOT NULL AND NOT EXISTS "
                                     f"(SELECT 1 FROM {ref} r WHERE r.{ref_col} = t.{col})")
     return with_(STAR + DEFECTS, "\nUNION ALL\n".join(parts))
@@ -204,6 +218,8 @@ GROUP BY 1 HAVING COUNT(*) >= 10"""),
         "o44_dedupe_latest": base(f"""SELECT * REPLACE (strftime(CAST(updated AS TIMESTAMP) + INTERVAL 25 HOUR, {ISO}) AS updated,
     '1.11' AS mag, 'reviewed-again' AS status, 'Moved, New Region' AS place, '999.9' AS depth)
 FROM feed WHERE {_N} % 20 = 3"""),
+        "o44_bad_keys": base(f"""SELECT id, CAST(2 AS BIGINT) AS n FROM feed WHERE {_N} % 20 = 3
+UNION ALL SELECT NULL AS id, COUNT(*) AS n FROM feed WHERE {_N} % 100 = 1 HAVING COUNT(*) > 0"""),
         "o45_fact_rows": star("SELECT * FROM fact"),
         "o46_validate": validate_sql(),
         "o47_ingest_raw": raw,

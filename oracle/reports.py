@@ -104,7 +104,7 @@ GROUP BY 1, 2, 3""", ranged)
 
 def heatmap_day_hour(ranged=False):
     return _star(f"""SELECT CAST(isodow(t.event_time) AS INTEGER) AS day_of_week,
-    CAST(hour(t.event_time) AS INTEGER) AS hour_utc, CAST(COUNT(*) AS INTEGER) AS events_cnt
+    CAST(hour(t.event_time) AS INTEGER) AS hour_utc, CAST(COUNT(*) AS BIGINT) AS events_cnt
 FROM fact f JOIN dim_time t ON t.time_id = f.time_id
 WHERE 1 = 1{_range('CAST(t.event_time AS DATE)', ranged)}
 GROUP BY 1, 2""", ranged)

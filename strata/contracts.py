@@ -55,6 +55,7 @@ def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
 
 
 S, I, TS, B = T.StringType(), T.IntegerType(), T.TimestampType(), T.BooleanType()
+K = T.LongType()  # surrogate ids: some dimensions grow by about a row per event
 
 STG = Contract(
     "stg.earthquake_raw",
@@ -82,33 +83,33 @@ ODS = Contract(
     partition_by="event_date",
 )
 
-DIM_REGION = Contract("dm.dim_region", _struct(("region_id", I), ("region_name", S)),
+DIM_REGION = Contract("dm.dim_region", _struct(("region_id", K), ("region_name", S)),
                       key=("region_id",), natural_key=("region_name",), not_null=("region_id", "region_name"))
 DIM_TIME = Contract(
     "dm.dim_time",
-    _struct(("time_id", I), ("event_time", TS), ("year", I), ("month", I), ("day", I), ("hour", I),
+    _struct(("time_id", K), ("event_time", TS), ("year", I), ("month", I), ("day", I), ("hour", I),
             ("quarter", I), ("day_of_week", S), ("is_weekend", B)),
     key=("time_id",), natural_key=("event_time",), not_null=("time_id", "event_time"),
     max_length={"day_of_week": 10},
 )
 DIM_LOCATION = Contract(
     "dm.dim_location",
-    _struct(("location_id", I), ("region_id", I), ("latitude", dec(12, 8)), ("longitude", dec(12, 8)),
+    _struct(("location_id", K), ("region_id", K), ("latitude", dec(12, 8)), ("longitude", dec(12, 8)),
             ("place", S)),
     key=("location_id",), natural_key=("latitude", "longitude", "place"), not_null=("location_id",),
     foreign_keys={"region_id": ("dm.dim_region", "region_id")},
 )
-DIM_MAGNITUDE = Contract("dm.dim_magnitude", _struct(("mag_type_id", I), ("mag_type", S), ("mag_source", S)),
-                         key=("mag_type_id",), natural_key=("mag_type", "mag_source"), not_null=("mag_type_id",),
+DIM_MAGNITUDE = Contract("dm.dim_magnitude", _struct(("mag_type_id", K), ("mag_type", S), ("mag_source", S)),
+                         key=("mag_type_id",), natural_key=("mag_type", "mag_source"), not_null=("mag_type_id", "mag_type", "mag_source"),
                          max_length={"mag_type": 20, "mag_source": 10})
-DIM_NETWORK = Contract("dm.dim_network", _struct(("network_id", I), ("net", S), ("location_source", S)),
-                       key=("network_id",), natural_key=("net", "location_source"), not_null=("network_id",),
+DIM_NETWORK = Contract("dm.dim_network", _struct(("network_id", K), ("net", S), ("location_source", S)),
+                       key=("network_id",), natural_key=("net", "location_source"), not_null=("network_id", "net", "location_source"),
                        max_length={"net": 10, "location_source": 10})
-DIM_STATUS = Contract("dm.dim_status", _struct(("status_id", I), ("status", S)),
-                      key=("status_id",), natural_key=("status",), not_null=("status_id",),
+DIM_STATUS = Contract("dm.dim_status", _struct(("status_id", K), ("status", S)),
+                      key=("status_id",), natural_key=("status",), not_null=("status_id", "status"),
                       max_length={"status": 20})
-DIM_EVENT_TYPE = Contract("dm.dim_event_type", _struct(("event_type_id", I), ("event_type", S)),
-                          key=("event_type_id",), natural_key=("event_type",), not_null=("event_type_id",),
+DIM_EVENT_TYPE = Contract("dm.dim_event_type", _struct(("event_type_id", K), ("event_type", S)),
+                          key=("event_type_id",), natural_key=("event_type",), not_null=("event_type_id", "event_type"),
                           max_length={"event_type": 50})
 
 FACT_MEASURES = [
@@ -119,7 +120,7 @@ FACT_MEASURES = [
 FACT_KEYS = ["time_id", "location_id", "mag_type_id", "network_id", "status_id", "event_type_id"]
 FACT = Contract(
     "dm.fact_earthquakes",
-    _struct(("id", S), *[(k, I) for k in FACT_KEYS], *FACT_MEASURES, ("dwh_loaded_at", TS)),
+    _struct(("id", S), *[(k, K) for k in FACT_KEYS], *FACT_MEASURES, ("dwh_loaded_at", TS)),
     key=("id",), not_null=("id",), max_length={"id": 50},
     foreign_keys={
         "time_id": ("dm.dim_time", "time_id"),

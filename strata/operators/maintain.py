@@ -23,10 +23,6 @@ _LOW_BITS = 33  # monotonically_increasing_id: partition index in the high bits,
 
 
 # O-39: surrogate ids -------------------------------------------------------------------------------
-# Key sets up to this many rows are numbered by one ordered window (one task); larger ones in parallel.
-SMALL_KEYS_MAX_ROWS = 100_000
-
-
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage (persisted first so the
     plan is computed once, not once for the count and again for the write)."""
@@ -48,25 +44,20 @@ def materialize(df: DataFrame, name: str = "table", partition_by: str | None = N
 
 
 def assign_ids(keys: DataFrame, key_cols: list[str], id_col: str, base: int = 0,
-               num_partitions: int | None = None, small_max_rows: int = SMALL_KEYS_MAX_ROWS) -> DataFrame:
+               num_partitions: int | None = None) -> DataFrame:
     """Number distinct ``keys`` rows base+1, base+2, ... in natural-key order (NULLs first).
 
-    * At most ``small_max_rows`` keys (counted): ``row_number()`` over the key order. The keys are
-      distinct, so the order is total and a recomputation gives the same ids.
-    * More: no global window (that would plan ``Exchange SinglePartition`` over all keys). The keys
-      are range-partitioned and sorted inside each partition, the position inside the partition is
-      taken from ``monotonically_increasing_id`` and fixed by a reliable checkpoint (so a lost
-      executor cannot renumber rows), and each partition's offset comes from its row count (one
-      number per partition, broadcast back: the bound is the partition count).
+    No global window (that would plan ``Exchange SinglePartition`` over all keys). The keys are
+    range-partitioned and sorted inside each partition, the position inside the partition is taken
+    from ``monotonically_increasing_id`` and fixed by writing it out (so a lost executor cannot
+    renumber rows), and each partition's offset comes from its row count (one number per partition,
+    broadcast back: the bound is the partition count).
     """
     spark = keys.sparkSession
     order = [F.col(c).asc_nulls_first() for c in key_cols]
-    if keys.limit(small_max_rows + 1).count() <= small_max_rows:
-        rn = F.row_number().over(Window.orderBy(*order))
-        return keys.select((F.lit(base) + rn).cast("int").alias(id_col), *keys.columns)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = reliable_checkpoint(keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                                 .withColumn("__mid", F.monotonically_increasing_id()))
+    ranged = materialize(keys.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("__mid", F.monotonically_increasing_id()), "ids")
     part = F.shiftright(F.col("__mid"), _LOW_BITS)
     local = F.col("__mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     counts = sorted((r["p"], r["c"]) for r in ranged.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect())
@@ -76,8 +67,8 @@ def assign_ids(keys: DataFrame, key_cols: list[str], id_col: str, base: int = 0,
         running += int(c)
     off_df = F.broadcast(spark.createDataFrame(offsets, "p long, off long"))
     numbered = ranged.join(off_df, part == off_df["p"], "inner")
-    new_id = (F.lit(base) + F.col("off") + local + F.lit(1)).cast("int")
-    return numbered.select(new_id.alias(id_col), *keys.columns)
+    new_id = F.lit(base).cast("long") + F.col("off") + local + F.lit(1)
+    return numbered.select(new_id.cast("long").alias(id_col), *keys.columns)
 
 
 def max_id(dim: DataFrame, id_col: str) -> int:
@@ -98,7 +89,10 @@ def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str],
     ``existing`` may narrow the rows the candidates are matched against (e.g. to the days of the
     batch when the natural key is a timestamp); the new ids still start above ``dim``'s maximum.
     """
-    fresh = candidates.dropDuplicates(natural_key)
+    # of several rows of one key the least: a retry gives the same row
+    other = [c for c in candidates.columns if c not in natural_key]
+    fresh = candidates.groupBy(*natural_key).agg(*[F.min(F.struct(*other)).alias("__o")]).select(
+        *natural_key, "__o.*") if other else candidates.dropDuplicates(natural_key)
     existing = (dim if existing is None else existing).select(*natural_key)
     if reduce_existing:  # a small batch against a large dimension: filter it map-side, no shuffle
         existing = reduce_to_keys(existing, fresh, [(c, c, null_safe) for c in natural_key])
@@ -110,7 +104,6 @@ def insert_if_new(dim: DataFrame, candidates: DataFrame, natural_key: list[str],
         new_keys = fresh.join(existing, cond, "left_anti")
     else:
         new_keys = fresh.join(existing, natural_key, "left_anti")
-    other = [c for c in candidates.columns if c not in natural_key]
     rows = new_keys.select(*natural_key, *other)
     out_cols = [id_col] + [c for c in dim.columns if c != id_col]
     start = max_id(dim, id_col) if base is None else base
@@ -138,6 +131,27 @@ def assert_unique(df: DataFrame, key: list[str], what: str = "table") -> None:
         raise ValueError(f"{kind} {key} in {what}: {[row[k] for k in key]} x{row['__n']}")
 
 
+def assert_not_null(df: DataFrame, key: list[str], what: str = "table") -> None:
+    """Fail when a key part is NULL (primary keys are NOT NULL)."""
+    bad = df.where(reduce(or_, [F.col(k).isNull() for k in key])).select(*key).limit(1).collect()
+    if bad:
+        raise ValueError(f"NULL key {key} in {what}: {list(bad[0])}")
+
+
+def bad_keys(df: DataFrame, key: list[str]) -> DataFrame:
+    """The key values a load refuses, with their row counts: repeated ones, and those with a NULL part."""
+    null_key = reduce(or_, [F.col(k).isNull() for k in key])
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | null_key)
+
+
+def merge_versions(batch: DataFrame, key: str, version: str, latest: list[str]) -> DataFrame:
+    """One row per key of several versions, as upserting them one by one would leave it: the ``latest``
+    columns from the last version, every other from the first. One map-side aggregate, no window."""
+    first = [c for c in batch.columns if c not in (key, version, *latest)]
+    one = batch.groupBy(key).agg(F.min_by(F.struct(*first), version).alias("__f"), F.max_by(F.struct(*latest), version).alias("__l"))
+    return one.select(key, "__f.*", "__l.*").select(*[c for c in batch.columns if c != version])
+
+
 def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
                  order_by: list[str] | None = None) -> DataFrame:
     """Make ``batch`` unique on ``key``.
@@ -149,7 +163,7 @@ def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
     * ``"unchecked"``: no check here; the caller runs ``assert_unique`` on the materialised output.
     * ``"latest"``: keep, per key, the row with the greatest ``order_by`` (remaining columns break
       ties so the pick is deterministic); ``max_by`` aggregates map-side, so a hot key with many
-      versions is pre-combined before the shuffle.
+      versions is pre-combined before the shuffle. A NULL key fails the load here too.
     """
     if on_duplicate == "error":
         assert_unique(batch, key, "upsert batch")
@@ -159,6 +173,7 @@ def dedupe_batch(batch: DataFrame, key: list[str], on_duplicate: str = "error",
     if on_duplicate == "latest":
         if not order_by:
             raise ValueError("on_duplicate='latest' needs order_by")
+        assert_not_null(batch, key, "upsert batch")
         rest = [c for c in batch.columns if c not in key and c not in order_by]
         rank = F.struct(*[F.col(c) for c in order_by + rest])
         row = F.struct(*[F.col(c) for c in batch.columns if c not in key])

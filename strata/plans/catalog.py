@@ -19,7 +19,7 @@ from strata.plans.fixtures import FIXED_NOW, defect_load, first_load, second_loa
 from strata.plans.model import empty, load_dm_frames, stamp, stg_from_feed
 from strata.session import scratch_path
 from strata.sources import feed as S
-from strata.sources.testdata import ISO_MS, corrections, load_feed, second_batch
+from strata.sources.testdata import ISO_MS, _num, corrections, load_feed, second_batch
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -321,6 +321,13 @@ def o44_dedupe_latest(spark, sf):
     return M.dedupe_batch(c.unionByName(later), ["id"], "latest", ["updated"])
 
 
+def o44_bad_keys(spark, sf):
+    """What a load refuses: ids that the corrections repeat, and rows without an id."""
+    feed = load_feed(spark, sf)
+    nameless = feed.where(_num() % 100 == 1).withColumn("id", F.lit(None).cast("string"))
+    return M.bad_keys(feed.unionByName(corrections(feed)).unionByName(nameless), ["id"])
+
+
 def o45_fact_rows(spark, sf):
     return ntz(_star(spark, sf).fact)
 

@@ -69,7 +69,7 @@ def inject_defects(ods: DataFrame, star: Star) -> tuple[DataFrame, Star]:
 
     def redo_first(dim: DataFrame, id_col: str) -> DataFrame:
         m = dim.agg(F.max(id_col)).first()[0] or 0
-        dup = dim.where(F.col(id_col) == 1).withColumn(id_col, F.lit(m + 1).cast("int"))
+        dup = dim.where(F.col(id_col) == 1).withColumn(id_col, F.lit(m + 1).cast("long"))
         return dim.unionByName(dup)
 
     def add_label(dim: DataFrame, id_col: str, col: str, label: str) -> DataFrame:

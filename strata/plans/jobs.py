@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 
 from strata import contracts as C
 from strata.functions.columns import to_day
-from strata.operators.maintain import assert_unique, reliable_checkpoint, replace_day, replace_days, upsert
+from strata.operators.maintain import (
+    assert_not_null, assert_unique, merge_versions, reliable_checkpoint, replace_day, replace_days, upsert,
+)
 from strata.operators.validate import assert_valid, validate
 from strata.plans.model import (
     DIMENSION_ORDER, FACT_UPDATE_COLUMNS, Star, dimension_rows, fact_rows, stamp, stg_from_feed,
@@ -119,12 +121,13 @@ def load_stg(spark: SparkSession, wh: Warehouse, day: dt.date | str, now: dt.dat
 
 # O-49 -------------------------------------------------------------------------------------------
 def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None, days: list | None = None,
-             on_duplicate: str = "latest") -> None:
-    """Upsert STG into ODS: all of STG (``days=None``, as the source pipeline does) or only the STG
-    partitions of ``days``. Only ODS partitions holding a batch id, or receiving one, are rewritten;
+             on_duplicate: str = "error", rows: DataFrame | None = None) -> None:
+    """Upsert STG into ODS: all of STG (``days=None``, as the source pipeline does), only the STG
+    partitions of ``days``, or the given ``rows`` of STG's shape. A NULL id, and by default an id that
+    stands twice, fails the load before ODS is touched. Only ODS partitions holding a batch id, or receiving one, are rewritten;
     known ids keep their partition because their event time is never updated."""
     configure(spark)
-    stg = wh.read_stg(spark)
+    stg = wh.read_stg(spark) if rows is None else rows
     if days is not None:
         stg = stg.where(partition_filter(C.STG.partition_by, [None if x is None else _day(x) for x in days]))
     batch = reliable_checkpoint(stg.drop(C.STG.partition_by))
@@ -197,9 +200,10 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     """Load a range of days (``landing/day=<D>`` holds day D's files).
 
     * ``mode="daily"``: the day chain once per day, in order (what a scheduler catch-up does).
-    * ``mode="one_pass"``: one job per layer for the whole range. RAW and STG equal the daily result
-      exactly (see ``replace_days``); ODS and the star equal it when no event is corrected by a file of
-      a later day (daily runs load a day's facts before later corrections arrive).
+    * ``mode="one_pass"``: one job per layer for the whole range, with the daily result. STG: see
+      ``replace_days``. ODS: an id's first file gives the columns that are only inserted, its last the
+      updated ones. A day's facts are loaded before files of later days correct its events, so these
+      versions reach ODS after the star is loaded.
     """
     ds = sorted(_day(x) for x in days)
     if mode == "daily":
@@ -209,10 +213,10 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     if mode != "one_pass":
         raise ValueError(f"unknown mode: {mode}")
     configure(spark)
-    # RAW: every file of the range, each under its own file day
-    with_day = T.StructType([*C.FEED_SCHEMA.fields, T.StructField("day", T.DateType(), True)])
-    files = feed_reader(spark, with_day).option("enforceSchema", True).csv(landing).where(partition_filter("day", ds))
-    (files.withColumnRenamed("day", RAW_PARTITION).write.mode("overwrite")
+    # RAW: every file of the range, its header checked, each under the day its folder names
+    day = F.regexp_extract(F.col("_metadata.file_path"), "/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1).cast("date")
+    files = feed_reader(spark).csv([f"{landing.rstrip('/')}/day={d}" for d in ds])
+    (files.withColumn(RAW_PARTITION, day).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PARTITION).parquet(wh.raw))
     # STG: all files at once, with the outcome of the sequential delete-then-append
     raw_schema = T.StructType([*C.FEED_SCHEMA.fields, T.StructField(RAW_PARTITION, T.DateType(), True)])
@@ -224,6 +228,17 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     affected = sorted(set(distinct_values(batch, part)) | set(live), key=lambda v: (v is not None, v))
     target = wh.read_stg(spark).where(partition_filter(part, affected))
     merged = replace_days(target, batch, F.col(part), F.col(RAW_PARTITION), live)
+    versions = batch.where(partition_filter(RAW_PARTITION, live))
+    assert_not_null(versions, ["id"], "the files")
+    assert_unique(versions, ["id", RAW_PARTITION], "the files")
     rewrite_partitions(spark, merged, wh.stg, part, affected)
-    load_ods(spark, wh, now, days=affected if ods_days else None)
-    load_dm(spark, wh, ds, now)
+    # as upserting a day's partitions does: an id that stands in STG twice fails before ODS is touched
+    assert_unique(wh.read_stg(spark).where(partition_filter(part, affected)), ["id"], C.STG.name)
+    home = versions.groupBy("id").agg(F.min_by(part, RAW_PARTITION).alias("__home"))
+    versions = reliable_checkpoint(versions.join(home, "id").withColumn("__late", F.coalesce(F.col(RAW_PARTITION) > F.col("__home"), F.lit(False))))
+    for late in (False, True):
+        some = versions.where(F.col("__late") == late).drop("__home", "__late", part)
+        if not late or some.limit(1).count():
+            load_ods(spark, wh, now, rows=merge_versions(some, "id", RAW_PARTITION, ["updated", "mag", "status", "place"]))
+        if not late:
+            load_dm(spark, wh, ds, now)

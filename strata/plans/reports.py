@@ -221,7 +221,7 @@ def map_points(star: Star, date_from=None, date_to=None) -> DataFrame:
 def heatmap_day_hour(star: Star, date_from=None, date_to=None) -> DataFrame:
     j = _per_time(star, date_from, date_to, with_mag=False)
     g = j.groupBy(iso_day_of_week("event_time").alias("day_of_week"),
-                  F.hour("event_time").alias("hour_utc")).agg(F.sum("cnt").cast("int").alias("events_cnt"))
+                  F.hour("event_time").alias("hour_utc")).agg(F.sum("cnt").cast("long").alias("events_cnt"))
     return g.orderBy("day_of_week", "hour_utc")
 
 
