@@ -267,10 +267,10 @@ def parse(record: bytes) -> tuple[int, np.ndarray]:
     return doc, np.frombuffer(raw, dtype=f"<u{size}")
 
 
-def read_records(manifest: DataFrame) -> DataFrame:
+def read_records(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
     """One row per record, read from the files of the manifest: shard, place (in the shard), doc_id,
     start (ids of all records before it), n_tokens, ids_crc32 (of the ids as 32-bit little-endian) and
-    ids_bytes (as stored, 2 or 4 bytes an id: see ``width``)."""
+    ids_bytes (as stored, 2 or 4 bytes an id: see ``width``; null unless ``with_ids``)."""
     spark = manifest.sparkSession
     rows = staged(manifest, "shards")
     n = max(1, rows.count())
@@ -287,7 +287,7 @@ def read_records(manifest: DataFrame) -> DataFrame:
                             found, ids = parse(f.read(length + 16))
                             if found != doc:
                                 raise ValueError(f"{file}: record {place} isn't the one the index names")
-                            out.append((shard, place, doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids.itemsize, ids.tobytes()))
+                            out.append((shard, place, doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids.itemsize, ids.tobytes() if with_ids else None))
                             start += len(ids)
                         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names)
 
@@ -343,5 +343,5 @@ def read_shuffled(manifest: DataFrame, seed: int = 0) -> DataFrame:
 
 def digest(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
     """Writes ``docs`` and returns what reading the files back says of each record."""
-    return read_records(write_records(docs, tokenizer)).select(
+    return read_records(write_records(docs, tokenizer), with_ids=False).select(
         "doc_id", "start", "n_tokens", "ids_crc32", "shard", "place")
