@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -77,8 +78,10 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
-#: Lower-case letters of ASCII and Latin-1, in UTF-8: composed already, and lower case as they are.
-_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+").fullmatch
+#: Lower-case letters of ASCII and all letters of Latin-1, in UTF-8: composed already.
+_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+").fullmatch
+#: Marks that end a word as one piece of their own; the apostrophe may begin a piece with letters.
+_MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(97, 123)]] = True
 _ENDS = np.zeros(256, bool)
@@ -149,12 +152,28 @@ class Encoder:
         return self._listed(self.bare, keys, written, b" ", lambda ids: self.last[ids])
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of ``words``, none of them known. Letters with marks behind them are put together of both."""
+        ends = {}
+        if self.bare is not None:
+            for w in words:
+                head = w.rstrip(_MARKS)
+                if 0 < len(head) < len(w) and _LATIN(head):
+                    ends[w] = head, w[len(head):]
+            words = words - ends.keys() | {x for pair in ends.values() for x in pair if x not in self.known}
+        out = self._whole(words)
+        for w, pair in ends.items():
+            head, tail = (out[x] if x in out else self.known[x] for x in pair)
+            out[w] = head + tail
+        return out
+
+    def _whole(self, words: set[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
         if self.bare is not None:
             ascii_ = [w for w in words if w.isalpha() and w.islower()]  # its own byte-level alphabet
             out.update(self._words(ascii_, ascii_))
             latin = [w for w in words - out.keys() if _LATIN(w)]
-            out.update(self._words(latin, b" ".join(latin).decode("latin-1").translate(self.alphabet).encode().split(b" ") if latin else []))
+            lowered = b" ".join(latin).decode().lower().encode()
+            out.update(self._words(latin, lowered.decode("latin-1").translate(self.alphabet).encode().split(b" ") if latin else []))
         if self.zero is not None:
             plain = [w for w in words - out.keys() if b"0" not in w]  # between two a 0, whose id these don't have
             out.update(self._listed(self.tokenizer, plain, plain, b" 0 ", lambda ids: ids == self.zero))
@@ -168,14 +187,26 @@ class Encoder:
             for t in texts:
                 yield np.array(self._ids(t.decode()), dtype=self.dtype).tobytes()
             return
-        # on bytes: ASCII letters and blanks only. Special tokens are looked for before letters are lowered
-        split = [(t if b"<|" in t else apart(t.lower())).split() for t in texts]
+        # ASCII letters and blanks only. Special tokens are looked for before letters are lowered, and
+        # accents of their own (U+0300 to U+033F) are composed before: there are letters with lower case only
+        ready = [t if b"<|" in t or b"\xcc" in t else apart(t.lower()) for t in texts]
+        words = pc.ascii_split_whitespace(pa.array(ready, pa.large_binary()).view(pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        keys = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
-        self.known.update(self._learn(set().union(*split) - self.known.keys()))
-        get = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        self.known[b""] = b""  # before a leading blank, behind a trailing one
+        found = list(map(self.known.get, keys))
+        new = [i for i, x in enumerate(found) if x is None]
+        learnt = self._learn({keys[i] for i in new})
+        self.known.update(learnt)
+        for i in new:
+            found[i] = learnt[keys[i]]
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        at = np.r_[0, pc.binary_length(ids).to_numpy(zero_copy_only=False).cumsum()][np.asarray(words.offsets)].tolist()
+        raw = memoryview(ids.buffers()[2] or b"")
+        for a, b in zip(at, at[1:]):
+            yield bytes(raw[a:b])
 
 
 _encoders: dict[str, Encoder] = {}
