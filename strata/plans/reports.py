@@ -1,21 +1,21 @@
 """R-01..R-15: star-schema reports. Each takes a ``Star`` and optional closed date bounds.
 
 Scale notes
+* A fact row's ``event_date`` is the date of the event time its ``time_id`` was looked up by, and loads
+  enforce the keys. So a report by day, week or date bound needs ``time_id IS NOT NULL`` and ``event_date``,
+  not the time dimension; only the heatmap joins it, for the hour.
 * Reports that group by dimension attributes first aggregate the fact on its foreign keys (partial
   aggregation runs map-side), so a hot key — one place, one timestamp — is collapsed to one row
   before any join shuffle, and the joins see one row per key instead of one per event. Inner-join
   multiplicity is kept: counts and sums are merged after the join.
 * Small dimensions are broadcast behind a row-count check; ``dim_time`` and ``dim_location`` grow
   with the events and are joined by key shuffle.
-* A date bound also filters the fact's ``event_date`` storage column (the date of the event time its
-  ``time_id`` was looked up by), so a partitioned fact is pruned at the scan.
+* A date bound filters ``event_date``, by which the fact is stored, so the scan is pruned.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
@@ -34,9 +34,13 @@ def _small(dim: DataFrame, *cols: str) -> DataFrame:
     return checked_broadcast(dim, SMALL_DIM_MAX_ROWS, list(cols))
 
 
-def _fact(star: Star, date_from=None, date_to=None) -> DataFrame:
-    f = star.fact
-    if (date_from is not None or date_to is not None) and "event_date" in f.columns:
+def _dated(star: Star, date_from=None, date_to=None) -> DataFrame:
+    """Fact rows with a time key (in range) and their ``event_date``; a fact that doesn't carry the date gets
+    it from the time dimension."""
+    f = star.fact.where(F.col("time_id").isNotNull())
+    if "event_date" not in f.columns:
+        f = f.join(star.dim_time.select("time_id", to_day("event_time").alias("event_date")), "time_id")
+    if date_from is not None or date_to is not None:
         f = f.where(date_range_filter("event_date", date_from, date_to))
     return f
 
@@ -78,17 +82,10 @@ def _avg_mag(df: DataFrame) -> DataFrame:
             .drop("mag_s", "mag_n"))
 
 
-def _per_time(star: Star, date_from, date_to, fact: DataFrame | None = None, **parts) -> DataFrame:
-    """Fact pre-aggregated per time_id, joined to the (date-filtered) time dimension."""
-    f = fact if fact is not None else _fact(star, date_from, date_to)
-    per = f.groupBy("time_id").agg(*_partials(**parts))
-    return per.join(_times(star, date_from, date_to), "time_id")
-
-
 # R-01 -------------------------------------------------------------------------------------------
 def daily_events(star: Star, date_from=None, date_to=None) -> DataFrame:
-    j = _per_time(star, date_from, date_to, with_mag=False)
-    return j.groupBy("day").agg(F.sum("cnt").alias("events_cnt")).orderBy("day")
+    f = _dated(star, date_from, date_to)
+    return f.groupBy(F.col("event_date").alias("day")).agg(F.count(F.lit(1)).alias("events_cnt")).orderBy("day")
 
 
 # R-02 -------------------------------------------------------------------------------------------
@@ -99,14 +96,6 @@ def daily_events_ma7(star: Star, date_from=None, date_to=None) -> DataFrame:
     return moving_average_rows(daily, "day", "events_cnt", 7, "ma7").orderBy("day")
 
 
-def _dated(star: Star, date_from=None, date_to=None) -> DataFrame:
-    """Fact rows whose time_id resolves to a time row (in range). ``time_id`` is the primary key of
-    ``dim_time``, so the inner join of the source SQL is a left-semi join: no dimension columns are
-    carried and no row can be multiplied."""
-    return _fact(star, date_from, date_to).join(_times(star, date_from, date_to).select("time_id"),
-                                                 "time_id", "left_semi")
-
-
 # R-03 -------------------------------------------------------------------------------------------
 def top_regions(star: Star, date_from=None, date_to=None, min_events: int = 10, k: int = 20) -> DataFrame:
     per = _dated(star, date_from, date_to).groupBy("location_id").agg(*_partials())
@@ -143,10 +132,25 @@ EVENT_COLUMNS = ["event_time", "region_name", "place", "mag", "depth", "net", "l
                  "event_type"]
 
 
-def _strong_join(star: Star, fact: DataFrame, date_from, date_to) -> DataFrame:
-    f = fact.where(F.col("mag") >= F.lit(5))
-    return (f.select("id", "time_id", "location_id", "network_id", "status_id", "event_type_id", "mag", "depth")
-            .join(_times(star, date_from, date_to).select("time_id", "event_time"), "time_id")
+_STRONG_KEYS = ["location_id", "network_id", "status_id", "event_type_id"]
+
+
+def _strong_rows(star: Star, date_from=None, date_to=None) -> DataFrame:
+    """Strong events with all the keys that the report joins on."""
+    f = _dated(star, date_from, date_to).where(F.col("mag") >= F.lit(5))
+    return f.dropna(subset=_STRONG_KEYS).select("id", "time_id", *_STRONG_KEYS, "mag", "depth", "event_date")
+
+
+def _newest_days(rows: DataFrame, k: int) -> DataFrame:
+    """The newest days that hold at least ``k`` of ``rows`` together (all days, if there are fewer rows): one
+    count per day, added up over the days."""
+    per = rows.groupBy("event_date").agg(F.count(F.lit(1)).alias("n"))
+    newer = F.sum("n").over(Window.orderBy(F.col("event_date").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    return per.withColumn("newer", F.coalesce(newer, F.lit(0))).where(F.col("newer") < k).select("event_date")
+
+
+def _described(star: Star, rows: DataFrame) -> DataFrame:
+    return (rows.join(star.dim_time.select("time_id", "event_time"), "time_id")
             .join(star.dim_location.select("location_id", "region_id", "place"), "location_id")
             .join(_small(star.dim_region, "region_id", "region_name"), "region_id")
             .join(_small(star.dim_network, "network_id", "net", "location_source"), "network_id")
@@ -154,44 +158,15 @@ def _strong_join(star: Star, fact: DataFrame, date_from, date_to) -> DataFrame:
             .join(_small(star.dim_event_type, "event_type_id", "event_type"), "event_type_id"))
 
 
-def _fact_days(fact: DataFrame) -> list:
-    """Day partitions of a file-based fact, from its file listing (no job); [] when not file-based."""
-    if "event_date" not in fact.columns:
-        return []
-    days = set()
-    for path in fact.inputFiles():
-        for seg in path.split("/"):
-            if seg.startswith("event_date=") and seg != "event_date=__HIVE_DEFAULT_PARTITION__":
-                days.add(dt.date.fromisoformat(seg.split("=", 1)[1]))
-    return sorted(days)
-
-
 def _strong_events(star: Star, date_from, date_to, k: int) -> DataFrame:
-    """Newest k strong events. On a day-partitioned fact the answer lies in the newest days: the
-    search starts with the newest day in range and doubles the window of days until it yields k rows
-    (rows of older days are older than any row found), so only those partitions are read. Exact:
-    ``event_date`` is the date of the event time its ``time_id`` was looked up by."""
+    """Newest k strong events, in one query: a count of them per day says which days hold the newest k, and
+    only rows of these days are joined (on a fact stored by day the scan is pruned to them at run time).
+    Exact: rows of older days are older than any of these. The list of days has a row per day at most."""
+    rows = _strong_rows(star, date_from, date_to)
+    newest = rows.join(F.broadcast(_newest_days(rows, k)), "event_date", "left_semi")
     order = [F.col("event_time").desc_nulls_first(), F.col("id").desc()]
-    base = _fact(star, date_from, date_to)
-    days = [d for d in _fact_days(base)
-            if (date_from is None or d >= _as_date(date_from)) and (date_to is None or d <= _as_date(date_to))]
-    j = None
-    width = 1
-    while days:
-        window = days[-width:]
-        part = base.where(F.col("event_date").isin([F.lit(str(d)).cast("date") for d in window]))
-        cand = top_k(_strong_join(star, part, date_from, date_to), order, k)
-        if width >= len(days) or cand.count() >= k:
-            j = cand
-            break
-        width *= 2
-    if j is None:
-        j = top_k(_strong_join(star, base, date_from, date_to), order, k)
-    return j.select(F.col("event_time").cast("timestamp_ntz").alias("event_time"), *EVENT_COLUMNS[1:])
-
-
-def _as_date(d) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
+    return top_k(_described(star, newest), order, k).select(
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"), *EVENT_COLUMNS[1:])
 
 
 def recent_strong_events(star: Star, date_from=None, date_to=None, k: int = 100) -> DataFrame:
@@ -204,11 +179,9 @@ def recent_significant_events(star: Star, k: int = 200) -> DataFrame:
 
 # R-08 -------------------------------------------------------------------------------------------
 def map_points(star: Star, date_from=None, date_to=None) -> DataFrame:
-    """Per (lat, lon, region): count and average magnitude. A date bound restricts the fact to the
-    time ids in range (a left-semi join); without bounds the time dimension is not joined."""
-    f = _fact(star, date_from, date_to)
-    if date_from is not None or date_to is not None:
-        f = f.join(_times(star, date_from, date_to).select("time_id"), "time_id", "left_semi")
+    """Per (lat, lon, region): count and average magnitude. Without bounds, rows without a time count too."""
+    bounded = date_from is not None or date_to is not None
+    f = _dated(star, date_from, date_to) if bounded else star.fact
     per = f.groupBy("location_id").agg(*_partials())
     loc = (star.dim_location.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
            .select("location_id", "region_id", "latitude", "longitude"))
@@ -219,7 +192,8 @@ def map_points(star: Star, date_from=None, date_to=None) -> DataFrame:
 
 # R-09 -------------------------------------------------------------------------------------------
 def heatmap_day_hour(star: Star, date_from=None, date_to=None) -> DataFrame:
-    j = _per_time(star, date_from, date_to, with_mag=False)
+    per = _dated(star, date_from, date_to).groupBy("time_id").agg(F.count(F.lit(1)).alias("cnt"))
+    j = per.join(_times(star, date_from, date_to), "time_id")
     g = j.groupBy(iso_day_of_week("event_time").alias("day_of_week"),
                   F.hour("event_time").alias("hour_utc")).agg(F.sum("cnt").cast("long").alias("events_cnt"))
     return g.orderBy("day_of_week", "hour_utc")
@@ -241,13 +215,13 @@ def regions_intensity(star: Star, min_events: int = 10, k: int = 25) -> DataFram
 
 # R-11 / R-12 --------------------------------------------------------------------------------------
 def daily_trend(star: Star) -> DataFrame:
-    j = _per_time(star, None, None)
-    return _avg_mag(j.groupBy("day").agg(*_merge())).orderBy("day")
+    days = _dated(star).groupBy(F.col("event_date").alias("day")).agg(*_partials())
+    return _avg_mag(days.withColumnRenamed("cnt", "events_cnt")).orderBy("day")
 
 
 def weekly_trend(star: Star) -> DataFrame:
-    j = _per_time(star, None, None)
-    return _avg_mag(j.groupBy(week_start("event_time").alias("week_start")).agg(*_merge())).orderBy("week_start")
+    weeks = _dated(star).groupBy(week_start("event_date").alias("week_start")).agg(*_partials())
+    return _avg_mag(weeks.withColumnRenamed("cnt", "events_cnt")).orderBy("week_start")
 
 
 # R-13 -------------------------------------------------------------------------------------------
