@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,9 @@ from pyspark.sql import types as T
 from strata import contracts as C
 from strata.functions.columns import to_day
 from strata.operators.maintain import (
-    assert_not_null, assert_unique, merge_versions, reliable_checkpoint, replace_day, replace_days, upsert,
+    assert_not_null, assert_unique, materialize, merge_versions, reliable_checkpoint, replace_day, replace_days, upsert,
 )
-from strata.operators.validate import assert_valid, validate
+from strata.operators.validate import assert_valid, validate, validate_rows
 from strata.plans.model import (
     DIMENSION_ORDER, FACT_UPDATE_COLUMNS, Star, dimension_rows, fact_rows, stamp, stg_from_feed,
     standardize, ODS_UPDATE_COLUMNS,
@@ -91,7 +92,8 @@ def ingest_raw(spark: SparkSession, wh: Warehouse, csv_path: str, day: dt.date |
     if day is not None:
         write_raw_day(feed, wh.raw, day)
     else:
-        (feed.withColumn(RAW_PARTITION, F.col("time").try_cast("date")).write.mode("overwrite")
+        (feed.withColumn(RAW_PARTITION, F.col("time").try_cast("date")).hint("rebalance", F.col(RAW_PARTITION))
+         .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PARTITION).parquet(wh.raw))
 
 
@@ -124,7 +126,7 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
              on_duplicate: str = "error", rows: DataFrame | None = None) -> None:
     """Upsert STG into ODS: all of STG (``days=None``, as the source pipeline does), only the STG
     partitions of ``days``, or the given ``rows`` of STG's shape. A NULL id, and by default an id that
-    stands twice, fails the load before ODS is touched. Only ODS partitions holding a batch id, or receiving one, are rewritten;
+    stands twice, or a value that is longer than its column, fails the load before ODS is touched. Only ODS partitions holding a batch id, or receiving one, are rewritten;
     known ids keep their partition because their event time is never updated."""
     configure(spark)
     stg = wh.read_stg(spark) if rows is None else rows
@@ -139,11 +141,16 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
     affected = sorted(set(known_days) | set(new_days), key=lambda v: (v is not None, v))
     target = ods.where(partition_filter(part, affected)).drop(part)
     checked_later = on_duplicate == "error"  # checked on the staged output: no second pass over STG
+
+    def check(staged: DataFrame) -> None:
+        if checked_later:
+            assert_unique(staged, ["id"], C.ODS.name)
+        assert_valid(validate_rows(staged, C.ODS.name, C.ODS))
+
     merged = upsert(target, standardize(batch), key=["id"], update_cols=ODS_UPDATE_COLUMNS,
                     insert_defaults={"ods_loaded_at": stamp(now)},
                     on_duplicate="unchecked" if checked_later else on_duplicate, order_by=["updated_at"])
-    rewrite_partitions(spark, merged.withColumn(part, to_day("event_time")), wh.ods, part, affected,
-                       check=(lambda staged: assert_unique(staged, ["id"], C.ODS.name)) if checked_later else None)
+    rewrite_partitions(spark, merged.withColumn(part, to_day("event_time")), wh.ods, part, affected, check=check)
 
 
 # O-50 -------------------------------------------------------------------------------------------
@@ -152,29 +159,38 @@ def load_dm(spark: SparkSession, wh: Warehouse, days, now: dt.datetime | None =
     """Load the star for one day (or a list of days in one pass): insert-if-new into the seven
     dimensions (region before location), then upsert the days' fact rows. Dimensions are append-only;
     the fact rewrites the partitions of ``days``. A list gives the same rows as one call per day;
-    only the order in which new surrogate ids are handed out differs."""
+    only the order in which new surrogate ids are handed out differs.
+
+    Everything is staged and checked before anything is published: NOT NULL and length rules of the new
+    dimension rows and the fact, and the fact's primary key. Foreign keys hold by construction, as they are
+    looked up in the dimensions; ``check=True`` checks all rules against the whole dimensions."""
     configure(spark)
     ds = sorted(_day(x) for x in (days if isinstance(days, (list, tuple, set)) else [days]))
     part = C.ODS.partition_by
     rows = wh.read_ods(spark, keep_partition=True).where(partition_filter(part, ds)).drop(part)
     star = wh.read_star(spark)
     fact_part = star.fact.where(partition_filter(C.FACT.partition_by, ds))
-    # Dimensions first, as the source pipeline does: append the new rows, then read the table again.
-    # The append is the materialisation (ids are fixed once written); a rerun adds nothing.
+    new: dict[str, DataFrame] = {}
     for name in DIMENSION_ORDER:
         base = footer_max(spark, wh.dm(name), DIM_TABLES[name].key[0])  # no scan of the id column
-        append(dimension_rows(name, star, rows, ds, base), wh.dm(name))
-        star = star.with_(**{name: read_layer(spark, wh.dm(name), DIM_TABLES[name])})
+        new[name] = materialize(dimension_rows(name, star, rows, ds, base), name)  # ids are fixed once written
+        star = star.with_(**{name: getattr(star, name).unionByName(new[name])})
     batch = fact_rows(star, rows, now, ds)
     fact = upsert(fact_part, batch, key=["id"], update_cols=FACT_UPDATE_COLUMNS,
                   touch={"dwh_loaded_at": stamp(now)}, on_duplicate="unchecked")
-    if check:
-        fact = reliable_checkpoint(fact)
-        tables = {c.name: (getattr(star, k), c) for k, c in DIM_TABLES.items()}
-        tables[C.FACT.name] = (fact, C.FACT)
-        assert_valid(validate(tables))
-    rewrite_partitions(spark, fact, wh.dm("fact_earthquakes"), C.FACT.partition_by, ds,
-                       check=lambda staged: assert_unique(staged, ["id"], C.FACT.name))
+
+    def publish_dimensions(staged: DataFrame) -> None:
+        assert_unique(staged, ["id"], C.FACT.name)
+        own = [validate_rows(df, DIM_TABLES[name].name, DIM_TABLES[name]) for name, df in new.items()]
+        assert_valid(reduce(DataFrame.unionByName, [*own, validate_rows(staged, C.FACT.name, C.FACT)]))
+        if check:
+            tables = {c.name: (getattr(star, k), c) for k, c in DIM_TABLES.items()}
+            assert_valid(validate(tables | {C.FACT.name: (staged, C.FACT)}))
+        # dimensions before the fact: a rerun after a loss in between finds its rows there and adds none
+        for name, df in new.items():
+            append(df, wh.dm(name))
+
+    rewrite_partitions(spark, fact, wh.dm("fact_earthquakes"), C.FACT.partition_by, ds, check=publish_dimensions)
 
 
 # O-51 / O-52 --------------------------------------------------------------------------------------
@@ -216,7 +232,7 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     # RAW: every file of the range, its header checked, each under the day its folder names
     day = F.regexp_extract(F.col("_metadata.file_path"), "/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1).cast("date")
     files = feed_reader(spark).csv([f"{landing.rstrip('/')}/day={d}" for d in ds])
-    (files.withColumn(RAW_PARTITION, day).write.mode("overwrite")
+    (files.withColumn(RAW_PARTITION, day).hint("rebalance", F.col(RAW_PARTITION)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(RAW_PARTITION).parquet(wh.raw))
     # STG: all files at once, with the outcome of the sequential delete-then-append
     raw_schema = T.StructType([*C.FEED_SCHEMA.fields, T.StructField(RAW_PARTITION, T.DateType(), True)])

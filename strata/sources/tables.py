@@ -40,10 +40,11 @@ def _drop_partition_dirs(spark: SparkSession, path: str, col: str, values: list)
 
 def rewrite_partitions(spark: SparkSession, df: DataFrame, path: str, col: str, affected: list,
                        check=None) -> None:
-    """Replace exactly the ``affected`` partitions of the table at ``path`` with the rows of ``df``.
+    """Replace exactly the ``affected`` partitions of the table at ``path`` with the rows of ``df``, which are
+    gathered by partition first: a task writes into few folders, and a large day is split (AQE's rebalancing).
     ``check`` (optional) runs on the staged rows before the swap; if it raises, the table is untouched."""
     staging = scratch_path(spark, "stage")
-    df.write.mode("overwrite").partitionBy(col).parquet(staging)
+    df.hint("rebalance", F.col(col)).write.mode("overwrite").partitionBy(col).parquet(staging)
     staged = spark.read.schema(df.schema).parquet(staging)
     if check is not None:
         check(staged)
