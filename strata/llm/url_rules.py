@@ -1,13 +1,15 @@
 """URL filters by association rules: FP-growth over the tokens of labelled urls, rules matched by an inverted index.
 
-A page's url becomes a set of tokens (scheme, suffixes of the host, pieces of the path, query keys). The
-pages labelled bad are transactions of their tokens; Spark's FP-growth mines the frequent sets, and a
+A page's url becomes a set of tokens (scheme, suffixes of the host, pieces of the path, query keys and values). The
+pages labelled bad are transactions of their tokens; Spark's FP-growth mines the frequent sets of any size, and a
 set whose share of bad pages is high enough becomes a rule, unless a smaller rule within it is as confident. Each rule is posted under its rarest token only, so a page meets just
 the rules that could hold; the rest of a rule is compared there.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from strata.llm.common import ascii_lower, let, staged
 #: (host, path, verdict) of the fixed rules; the longest that fits decides.
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE, MAX_TOKENS = 0.0005, 10, 0.5, 3
+MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.0005, 10, 0.5
+LONG = 200  # a longer part of a url stands in its token by the hash of the whole part
 
 
 def host_of(url: Column) -> Column:
@@ -38,61 +41,91 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def tokens_of(host: Column, path: Column, url: Column) -> Column:
-    """The distinct tokens of a url, ten at most, so that a set of frequent tokens has few subsets: the scheme; the
-    host's last label, last two, last three, and the host; the path's first two pieces and its last;
-    the first two query keys. Digits count by their number only, so that ids don't make tokens of their own."""
+    """The distinct tokens of a url: the scheme; every suffix of the host; each piece of the path (the first two with
+    their place, deeper ones without) and the last; each query key, and each key with its value. Digits
+    count by their number only, so that ids don't make tokens of their own."""
     none = F.array().cast("array<string>")
 
+    def whole(x: Column) -> Column:
+        return F.when(F.length(x) > LONG, F.concat(F.lit("#"), F.sha2(x, 256))).otherwise(x)
+
     def shape(x: Column) -> Column:
-        return F.regexp_replace(F.regexp_replace(ascii_lower(F.substring(x, 1, 200)), "[0-9]{4,}", "0000"), "(?<![0-9])[0-9]{1,3}(?![0-9])", "0")
+        return whole(F.regexp_replace(F.regexp_replace(ascii_lower(x), "[0-9]{4,}", "0000"), "(?<![0-9])[0-9]{1,3}(?![0-9])", "0"))
 
     def of_host(labels: Column) -> Column:
         n = F.size(labels)
-        return F.transform(F.array(F.least(n, F.lit(1)), F.least(n, F.lit(2)), F.least(n, F.lit(3)), n),
-                           lambda k: F.concat(F.lit("h:"), F.array_join(F.slice(labels, n - k + 1, k), ".")))
+        return F.transform(F.sequence(F.lit(1), n), lambda k: F.concat(F.lit("h:"), whole(F.array_join(F.slice(labels, n - k + 1, k), "."))))
 
     def of_path(pieces: Column) -> Column:
         n = F.size(pieces)
         return F.when(n == 0, none).otherwise(F.concat(
-            F.transform(F.slice(pieces, 1, 2), lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), shape(x))),
+            F.transform(pieces, lambda x, i: F.concat(F.lit("p"), F.when(i < 2, i.cast("string")).otherwise(""), F.lit(":"), shape(x))),
             F.array(F.concat(F.lit("z:"), shape(F.get(pieces, n - 1))))))
 
-    keys = F.slice(F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit("[?&]([^=&#]{1,100})"), F.lit(1)), 1, 2)
-    scheme = F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]{0,20})://", 1)
+    text = F.coalesce(url, F.lit(""))
+    keys = F.regexp_extract_all(text, F.lit("[?&]([^=&#]+)"), F.lit(1))
+    values = F.regexp_extract_all(text, F.lit("[?&]([^=&#]+=[^&#]+)"), F.lit(1))
+    scheme = F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1)
     return F.when((host == "") & (path == ""), none).otherwise(F.array_distinct(F.concat(
-        F.array(F.concat(F.lit("s:"), ascii_lower(scheme))),
+        F.array(F.concat(F.lit("s:"), whole(ascii_lower(scheme)))),
         F.when(host == "", none).otherwise(let(F.split(host, r"\."), of_host)),
         let(F.filter(F.split(path, "/"), lambda x: x != ""), of_path),
-        F.transform(keys, lambda x: F.concat(F.lit("q:"), ascii_lower(x))))))
+        F.transform(keys, lambda x: F.concat(F.lit("q:"), whole(ascii_lower(x)))),
+        F.transform(values, lambda x: F.concat(F.lit("v:"), shape(x))))))
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
-         min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+         min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(tokens, n, n_bad, confidence) of the rules from ``labelled`` (tokens, bad).
 
     A rule holds for at least ``min_support`` of the bad pages and ``min_count`` of them, and at least ``min_confidence`` of
-    its pages are bad. Sets are mined among the bad pages, since the outcome must be frequent in
+    its pages are bad. Sets of any size are mined among the bad pages, since the outcome must be frequent in
     them; how many pages a set has at all is then counted over every labelled page by the same index
     that applies rules.
+
+    Three kinds of larger sets can't become rules, as a smaller set within them is as confident, and FP-growth doesn't see
+    them: those with a token that only bad pages have, with a token that every labelled page has, and with two tokens of
+    the same pages. Tokens of the same pages are mined as one and put back into the rules.
     """
-    bad = staged(labelled.where("bad").where(F.size("tokens") > 0).select("tokens"), "url-bad")
+    kinds = labelled.where(F.size("tokens") > 0).groupBy(F.sort_array("tokens").alias("tokens")).agg(
+        F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad"))
+    kinds = staged(kinds.withColumn("row", F.monotonically_increasing_id()), "url-kinds")
+    n_all, n_bad = kinds.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_bad"), F.lit(0))).first()
+    if n_bad < min_count:
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, n long, n_bad long, confidence double")
+    least = ceil(min(1.0, max(min_support, min_count / n_bad)) * n_bad)
+    # tokens of the same pages by 128 bits over the kinds that have them
+    marked = kinds.select(F.explode("tokens").alias("t"), "n", "n_bad", F.xxhash64("tokens").alias("x"), F.xxhash64(F.lit(1), "tokens").alias("y"))
+    frequent = marked.groupBy("t").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    alike = frequent.where(F.col("n_bad") >= least).groupBy("n", "n_bad", "x", "y").agg(F.sort_array(F.collect_set("t")).alias("members"))
+    alike = staged(alike.select("n", "n_bad", "members", F.col("members")[0].alias("first")), "url-tokens")
+    single = alike.select(F.array("first").alias("tokens"), "n", "n_bad")
+    several = alike.where((F.col("n") > F.col("n_bad")) & (F.col("n") < n_all)).select(F.col("first").alias("t"))
+    bad = labelled.where("bad").select(F.monotonically_increasing_id().alias("row"), "tokens").select("row", F.explode("tokens").alias("t")).join(several, "t")
+    bad = staged(bad.groupBy("row").agg(F.collect_set("t").alias("tokens")).select("tokens"), "url-bad")
     n = bad.count()
-    empty = "tokens array<string>, n long, n_bad long, confidence double"
-    if n < min_count:
-        return labelled.sparkSession.createDataFrame([], empty)
-    support = max(min_support, min_count / n)
-    found = FPGrowth(itemsCol="tokens", minSupport=min(1.0, support), minConfidence=1.0).fit(bad).freqItemsets
-    sets = staged(found.where(F.size("items") <= max_tokens).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("n_bad")), "url-sets")
-    rare = _rarest(sets, labelled)
-    counted = _matches(labelled.select(F.monotonically_increasing_id().alias("row"), "tokens"), rare).groupBy("rule").agg(F.count("*").alias("n"))
-    rules = rare.join(counted, "rule").select("tokens", "n", "n_bad", (F.col("n_bad") / F.col("n")).alias("confidence")).where(F.col("confidence") >= min_confidence)
+    sets = single
+    if n:
+        found = FPGrowth(itemsCol="tokens", minSupport=(least - 0.5) / n, minConfidence=1.0).fit(bad).freqItemsets
+        larger = staged(found.where(F.size("items") > 1).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("n_bad")), "url-sets")
+        rare = _rarest(larger, labelled)
+        counted = _matches(kinds, rare).join(kinds.select("row", "n"), "row").groupBy("rule").agg(F.sum("n").alias("n"))
+        sets = single.unionByName(rare.join(counted, "rule").select("tokens", "n", "n_bad"))
+    rules = sets.select("tokens", "n", "n_bad", (F.col("n_bad") / F.col("n")).alias("confidence")).where(F.col("confidence") >= min_confidence)
     rules = staged(rules, "url-rules")
     # a rule adds nothing to a smaller one within it that is as confident
     smaller = rules.select(F.col("tokens").alias("s_tokens"), F.col("confidence").alias("s_conf"))
     by_token = rules.select("tokens", "confidence", F.explode("tokens").alias("t"))
     within = by_token.join(smaller.withColumn("t", F.element_at("s_tokens", 1)), "t").where(
         (F.size("s_tokens") < F.size("tokens")) & (F.col("s_conf") >= F.col("confidence")) & (F.size(F.array_except("s_tokens", "tokens")) == 0))
-    return staged(rules.join(within.select("tokens").distinct(), "tokens", "left_anti"), "url-rules")
+    least_rules = staged(rules.join(within.select("tokens").distinct(), "tokens", "left_anti").withColumn("rule", F.monotonically_increasing_id()), "url-rules")
+    # each choice of one of the alike tokens is a rule
+    parts = least_rules.select("rule", F.explode("tokens").alias("first")).join(alike.select("first", "members"), "first").groupBy("rule").agg(
+        F.collect_list("members").alias("parts"))
+    start = F.array(F.array().cast("array<string>"))
+    choices = F.aggregate("parts", start, lambda made, part: F.flatten(F.transform(made, lambda m: F.transform(part, lambda t: F.concat(m, F.array(t))))))
+    made = parts.select("rule", F.explode(choices).alias("tokens")).withColumn("tokens", F.sort_array("tokens"))
+    return staged(made.join(least_rules.drop("tokens"), "rule").select("tokens", "n", "n_bad", "confidence"), "url-rules")
 
 
 def _rarest(rules: DataFrame, labelled: DataFrame) -> DataFrame:
