@@ -5,8 +5,8 @@ The estimate is the usual concentration: start from medians and quartiles, keep
 rows with the least distance, take their mean and covariance, repeat, then reweight once. Statistics
 are whole thousandths, so sums are exact integers, and quantiles are exact over a bounded grid of
 values: the verdict doesn't depend on the order of rows or tasks, and every aggregate is combined
-before its shuffle. Groups with fewer than ``MIN_ROWS`` rows share one estimate per language, and
-languages with fewer still share one for all; where even that is too small, nothing is rejected.
+before its shuffle. Groups with fewer than ``MIN_ROWS`` rows are judged by an estimate over all rows of
+their language; languages with fewer rows share one estimate, and where even that is too small, nothing is rejected.
 """
 
 from __future__ import annotations
@@ -125,15 +125,16 @@ def _name(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(f"`{col}`").cast("string")), F.lit("~"))
 
 
-def _groups(rows: DataFrame, min_rows: int) -> DataFrame:
-    """(_lang, _source, _group): whose estimate judges the rows of a language and source."""
+def _groups(rows: DataFrame, min_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Two tables (_lang, _source, _group): whose estimate judges the rows of a language and source, and which
+    estimates they count for (their own, and their language's if a small source needs it)."""
     n = rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"))
-    small = F.when(F.col("n") < min_rows, F.col("n")).otherwise(0)
-    by_lang = n.groupBy("_lang").agg(F.sum(small).alias("pooled"))
-    return n.join(by_lang, "_lang").select(
-        "_lang", "_source",
-        F.when(F.col("n") >= min_rows, F.concat_ws("\x1f", F.lit("s"), "_lang", "_source"))
-        .when(F.col("pooled") >= min_rows, F.concat_ws("\x1f", F.lit("l"), "_lang")).otherwise("a").alias("_group"))
+    by_lang = n.groupBy("_lang").agg(F.sum("n").alias("in_lang"), F.min("n").alias("least"))
+    sized = staged(n.join(by_lang, "_lang"), "mcd-sized")
+    own, lang = F.concat_ws("\x1f", F.lit("s"), "_lang", "_source"), F.concat_ws("\x1f", F.lit("l"), "_lang")
+    judge = F.when(F.col("n") >= min_rows, own).when(F.col("in_lang") >= min_rows, lang).otherwise("a")
+    counts = F.array_distinct(F.when((F.col("in_lang") >= min_rows) & (F.col("least") < min_rows), F.array(judge, lang)).otherwise(F.array(judge)))
+    return sized.select("_lang", "_source", judge.alias("_group")), sized.select("_lang", "_source", F.explode(counts).alias("_group"))
 
 
 def _distance(x: list[Column]) -> Column:
@@ -220,9 +221,10 @@ def measured(docs: DataFrame, text: str = "text", lang: str = "lang", source: st
 def verdicts(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """``rows`` of ``measured`` with ``distance`` (squared) and ``kept``."""
     good = rows.where("not base_failed")
-    groups = staged(_groups(good, min_rows), "mcd-groups")
-    model = estimate(good.join(groups, ["_lang", "_source"]))
-    enough = staged(good.join(groups, ["_lang", "_source"]).groupBy("_group").agg(F.count("*").alias("_n")), "mcd-sizes")
+    groups, counted = (staged(x, "mcd-groups") for x in _groups(good, min_rows))
+    members = good.join(counted, ["_lang", "_source"])
+    model = estimate(members)
+    enough = staged(members.groupBy("_group").agg(F.count("*").alias("_n")), "mcd-sizes")
     # staged, so that its size is known when the rows, with their texts, are joined to it
     judged = staged(groups.join(model, "_group").join(enough, "_group").where(F.col("_n") >= min_rows), "mcd-judged")
     out = rows.join(judged, ["_lang", "_source"], "left")
