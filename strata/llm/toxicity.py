@@ -39,6 +39,8 @@ FEATURES, BEGIN, THRESHOLD = 1 << 22, 5, 0.3
 
 # -- the language model -------------------------------------------------------------------------------
 
+_PAD = " " * (ORDER - 1)
+PIECE = 1 << 16  # characters counted at once
 _CODE = np.full(256, _ELSE, dtype=np.int64)
 _CODE[97:123] = np.arange(26)
 _CODE[32] = _EDGE
@@ -46,9 +48,29 @@ _CODE[32] = _EDGE
 
 def _codes(words: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the sequences of ORDER characters in edge-padded words."""
-    pad = " " * (ORDER - 1)
-    raw = np.frombuffer("".join(f"{pad}{w} " for w in words).encode("latin-1", "replace"), dtype=np.uint8)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + ORDER
+    return _counted([f"{_PAD}{w} " for w in words], weights)
+
+
+def _pieces(words: list[str], weights: np.ndarray):
+    """(pieces, weights) of edge-padded words, in blocks of bounded size; the pieces of a long word overlap, so that each
+    of its sequences is in one of them."""
+    pieces, of, held = [], [], 0
+    for word, weight in zip(words, weights.tolist()):
+        padded = f"{_PAD}{word} "
+        for i in range(0, len(padded) - ORDER + 1, PIECE):
+            pieces.append(padded[i:i + PIECE + ORDER - 1])
+            of.append(weight)
+            held += len(pieces[-1])
+            if held >= 4 * PIECE:
+                yield pieces, np.array(of)
+                pieces, of, held = [], [], 0
+    if pieces:
+        yield pieces, np.array(of)
+
+
+def _counted(pieces: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer("".join(pieces).encode("latin-1", "replace"), dtype=np.uint8)
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
     c = _CODE[raw]
     ends = np.cumsum(size)
     at = np.arange(len(c))
@@ -84,8 +106,9 @@ def language_model(words: DataFrame) -> np.ndarray:
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                codes, n = _codes([w[:1 << 16] for w in batch.column(0).to_pylist()], np.asarray(batch.column(1)))
-                yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
+                for pieces, weights in _pieces(batch.column(0).to_pylist(), np.asarray(batch.column(1))):
+                    codes, n = _counted(pieces, weights)
+                    yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
 
     got = words.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
     return _smoothed(got["code"].to_numpy(dtype=np.int64), got["n"].to_numpy(dtype=np.float64))
