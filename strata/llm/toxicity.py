@@ -27,6 +27,7 @@ from strata.llm.common import staged
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 _LOOK = "".join(LOOKALIKES)
+_GAPS = r"\s.\-_*"  # what may stand between letters
 P_AS_IS, P_LOOK, P_MORE, P_GAP = 0.02, 0.98, 0.5, 0.5  # the channel
 
 ORDER, SYMBOLS = 4, 28  # a-z, the edge of a word, anything else
@@ -135,7 +136,8 @@ def _smoothed(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
 # what may be disguised: letters and look-alikes together, letters three times or more, letters one by one
 _MIXED = re.compile(rf"[a-z{re.escape(_LOOK)}]*(?:[a-z][{re.escape(_LOOK)}]|[{re.escape(_LOOK)}][a-z])[a-z{re.escape(_LOOK)}]*")
 _LONG = re.compile(r"[a-z]*([a-z])\1\1[a-z]*")
-_APART = re.compile(rf"(?<![^\W_])(?:[a-z{re.escape(_LOOK)}][ .\-_*]){{2,}}[a-z{re.escape(_LOOK)}](?![^\W_])")
+_APART = re.compile(rf"(?<![^\W_])(?:([a-z{re.escape(_LOOK)}])\1*+[{_GAPS}]++){{2,}}([a-z{re.escape(_LOOK)}])\2*+(?![^\W_])")
+_GAP_RUN = re.compile(rf"([{_GAPS}])[{_GAPS}]+")
 _UNIT = re.compile(r"(.)\1*", re.S)
 
 
@@ -145,11 +147,13 @@ def _code(c: str) -> int:
 
 def _options(char: str, run: int) -> list[tuple[str, float]]:
     """(what a run of a character stands for, log of the channel)."""
-    if char in " .-_*":
+    if char in ".-_*" or char.isspace():
         return [("", log(P_GAP)), (" ", log(1 - P_GAP))] if run == 1 else [(" ", 0.0)]
     if char in LOOKALIKES:
         letters = LOOKALIKES[char]
-        return [(char * run, run * log(P_AS_IS))] + [(x * min(run, 2), run * log(P_LOOK / len(letters))) for x in letters]
+        return [(char * run, run * log(P_AS_IS))] + [
+            (x * k, run * log(P_LOOK / len(letters)) + (log(P_MORE if k == 1 else 1 - P_MORE) if run > 1 else 0.0))
+            for x in letters for k in range(1, min(run, 2) + 1)]
     if run >= 3:
         return [(char, log(P_MORE)), (char * 2, log(1 - P_MORE))]
     return [(char * run, 0.0)]
@@ -194,12 +198,16 @@ class Restorer:
         s = m[0]
         return self.decode(s) if len(s) <= 200 else self._decode(s)
 
+    def _put_apart(self, m: re.Match) -> str:
+        s = _GAP_RUN.sub(r"\1", m[0])  # some separators together part letters like one
+        return self.decode(s) if len(s) <= 200 else self._decode(s)
+
     def restore(self, text: str) -> str:
         """The lower-cased text with every suspicious stretch replaced by its likeliest reading."""
         low = text.lower()
         apart, long, mixed = suspicious(low)
         if apart:
-            low = _APART.sub(self._put, low)
+            low = _APART.sub(self._put_apart, low)
         if mixed:
             low = _MIXED.sub(self._put, low)
         if long:
@@ -207,28 +215,25 @@ class Restorer:
         return low
 
 
-_LETTER = np.zeros(256, bool)
+_TOP = 0x3001  # no letter, look-alike or blank has this code point or a higher one
+_LETTER, _ODD, _GAP = np.zeros((3, _TOP + 1), bool)
 _LETTER[97:123] = True
-_WORDY = _LETTER.copy()
-_WORDY[48:58] = True
-_WORDY[128:] = True
-_ODD = np.zeros(256, bool)
-_ODD[[ord(c) for c in _LOOK if ord(c) < 128]] = True
-_ODD[0xC2], _ODD[0xE2] = True, True  # first bytes of the look-alikes beyond ASCII
-_GAP = np.zeros(256, bool)
-_GAP[[ord(c) for c in " .-_*"]] = True
+_ODD[[ord(c) for c in _LOOK]] = True
+_GAP[[i for i in range(_TOP) if re.match(f"[{_GAPS}]", chr(i))]] = True
 
 
 def suspicious(low: str) -> tuple[bool, bool, bool]:
     """Whether a lower-cased text may hold (letters one by one, long runs, letters with look-alikes)."""
-    b = np.frombuffer(low.encode(), dtype=np.uint8)
-    if len(b) < 2:
+    c = np.minimum(np.frombuffer(low.encode("utf-32-le"), dtype="<u4"), _TOP)
+    if len(c) < 2:
         return False, False, False
-    letter, odd = _LETTER[b], _ODD[b]
+    letter, odd, gap = _LETTER[c], _ODD[c], _GAP[c]
     mixed = bool(odd.any()) and bool(((letter[1:] & odd[:-1]) | (letter[:-1] & odd[1:])).any())
-    long = bool((letter[2:] & (b[2:] == b[1:-1]) & (b[1:-1] == b[:-2])).any())
-    some = letter | odd
-    apart = bool((some[:-4] & some[2:-2] & some[4:] & _GAP[b[1:-3]] & _GAP[b[3:-1]]).any()) if len(b) >= 5 else False
+    same = c[1:] == c[:-1]
+    long = bool((letter[2:] & same[1:] & same[:-1]).any())
+    first = np.r_[True, ~(same | (gap[1:] & gap[:-1]))]  # of each run of a character or of separators
+    some, gap = (letter | odd)[first], gap[first]
+    apart = bool((some[:-4] & some[2:-2] & some[4:] & gap[1:-3] & gap[3:-1]).any()) if len(some) >= 5 else False
     return apart, long, mixed
 
 
