@@ -205,6 +205,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = 3, bucket_cap:
     return stars.distinct() if found is None else found.unionByName(stars).distinct()
 
 
+def _components(hashed: DataFrame, max_bits: int = MAX_BITS, blocks: int = 3, bucket_cap: int = 256) -> DataFrame:
+    """(r_fp, component_id, group) of each fingerprint of ``hashed`` (doc_id, fp); ``group`` is a fingerprint that stands
+    for the component, also where two components have the same least id."""
+    reps = staged(hashed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
+    edges = links(reps.select("fp"), max_bits, blocks, bucket_cap)
+    roots = connected(edges)  # (node, root) of the linked fingerprints
+    linked = reps.join(roots, reps.fp == roots.node, "inner").select("fp", "rep", "root")
+    least = linked.groupBy("root").agg(F.min("rep").alias("least"))
+    of_fp = linked.join(least, "root").select(F.col("fp").alias("l_fp"), "least", "root")
+    return reps.join(of_fp, reps.fp == of_fp.l_fp, "left").select(
+        F.col("fp").alias("r_fp"), F.coalesce("least", "rep").alias("component_id"), F.coalesce("root", "fp").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
                     shingle: int = SHINGLE, blocks: int = 3, bucket_cap: int = 256) -> DataFrame:
     """One row per input row: ``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (the smallest
@@ -216,25 +229,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     hashed = staged(fingerprints(slim, "text", ["doc_id"], shingle), "simhash-fp")
-    reps = staged(hashed.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-reps")
-    edges = links(reps.select("fp"), max_bits, blocks, bucket_cap)
-    roots = connected(edges)  # (node, root) of the linked fingerprints
-    linked = reps.join(roots, reps.fp == roots.node, "inner").select("fp", "rep", "root")
-    least = linked.groupBy("root").agg(F.min("rep").alias("least"))
-    of_fp = linked.join(least, "root").select(F.col("fp").alias("l_fp"), "least")
-    named = reps.join(of_fp, reps.fp == of_fp.l_fp, "left").select(
-        F.col("fp").alias("r_fp"), F.coalesce("least", "rep").alias("component_id"))
+    named = _components(hashed, max_bits, blocks, bucket_cap)
     return hashed.join(named, hashed.fp == named.r_fp).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **params) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's, columns as they came: one of each group. Rows that
-    share that id are told apart by a hash of the row and its text, and the least stays; rows without an id
-    all stay."""
-    kept = near_duplicates(docs, id_col, text, **params).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, **params) -> DataFrame:
+    """One row of each component, columns as they came: that with the least id, and of rows that share the id, with the
+    least hash of the row and its text. An id on rows of several components stays once in each where it is
+    the least; rows without an id all stay."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), whole.alias("_row"), F.xxhash64(whole).alias("_hash"))
-    of_id = Window.partitionBy("_kept").orderBy("_hash", F.col("_row").getField(text))
-    one = rows.join(kept, F.col("_id") == F.col("_kept")).withColumn("_n", F.row_number().over(of_id)).where("_n = 1")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(whole).alias("_hash"), whole.alias("_row"))
+    slim = rows.select(F.col("_id").alias("doc_id"), "_hash", F.col("_row").getField(text).alias("text"))
+    hashed = staged(fingerprints(slim, "text", ["doc_id", "_hash"], shingle), "simhash-fp")
+    named = _components(hashed.select("doc_id", "fp"), **params)
+    least = hashed.where(F.col("doc_id").isNotNull()).join(named, hashed.fp == named.r_fp).groupBy("group").agg(
+        F.min(F.struct("doc_id", "_hash")).alias("least"))
+    kept = least.select(F.col("least.doc_id").alias("_kept"), F.col("least._hash").alias("_kept_hash"))
+    copies = Window.partitionBy("_kept", "_kept_hash").orderBy(F.col("_row").getField(text))  # rows alike in all columns
+    one = rows.join(kept, (F.col("_id") == F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash"))).withColumn(
+        "_n", F.row_number().over(copies)).where("_n = 1")
     return one.select("_row.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
