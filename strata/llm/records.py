@@ -7,10 +7,10 @@ A shard is two files. ``*.rec`` holds records one after another:
     payload
     masked checksum of it   4 bytes
 
-The payload is the document id (8 bytes, signed), the number of ids (4), the width of an id in bytes
-(1) and the ids, little-endian, as one zstd frame. A masked checksum is CRC-32 rotated right by 15
+The payload says whether the document has an id (1 byte), then comes the id (8 bytes, signed, 0 without one), the
+number of token ids (4), the width of one in bytes (1) and the token ids, little-endian, as one zstd frame. A masked checksum is CRC-32 rotated right by 15
 bits plus 0xA282EAD8, so that a checksum stored among checked bytes doesn't check itself. ``*.idx`` holds,
-per record, its offset, its length and its document id (3 x 8 bytes), then the masked checksum of
+per record, its offset, its length, whether it has an id and the id (4 x 8 bytes), then the masked checksum of
 all that: a reader in any order needs the index and one seek per record.
 
 Texts are range-partitioned by id before they are encoded (the ids of a text never travel), and each
@@ -42,7 +42,7 @@ from strata.session import scratch_path
 END_ID = 1
 _CACHE_WORDS = 600_000  # a call may add its own words once
 _ENCODED = 256  # texts of one call
-_HEAD = "<qIB"
+_HEAD = "<?qIB"
 MANIFEST = "file string, least long, n_docs long, n_tokens long, n_bytes long, part int"
 
 
@@ -227,12 +227,12 @@ def write_records(docs: DataFrame, tokenizer: str, path: str | None = None, id_c
     returns the manifest: one row per shard, ``shard`` in id order and ``start``, the ids before it.
 
     ``tokenizer`` is a file of the tokenizers library that the workers can read. Null and blank texts
-    become records of the end id alone; a null id sorts first and is written as the least long; rows of
+    become records of the end id alone; a null id sorts first and is read back as null; rows of
     one id are ordered by text; other columns are not read; an empty table makes an empty manifest.
     """
     spark = docs.sparkSession
     path = path or scratch_path(spark, "records")
-    slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("doc_id"),
+    slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     ordered = slim.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
 
@@ -255,10 +255,10 @@ def write_records(docs: DataFrame, tokenizer: str, path: str | None = None, id_c
             for doc, raw in zip(batch.column(0).to_pylist(), encoded):
                 raw += end
                 n = len(raw) // size
-                payload = struct.pack(_HEAD, doc, n, size) + pack.compress(raw)
+                payload = struct.pack(_HEAD, doc is not None, doc or 0, n, size) + pack.compress(raw)
                 length = struct.pack("<Q", len(payload))
                 out.write(b"".join([length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))]))
-                index.append((offset, len(payload), doc))
+                index.append((offset, len(payload), doc is not None, doc or 0))
                 offset += len(payload) + 16
                 tokens += n
         if out is not None:
@@ -279,23 +279,23 @@ def write_records(docs: DataFrame, tokenizer: str, path: str | None = None, id_c
 # -- reading ------------------------------------------------------------------------------------------
 
 def read_index(fs, path: str) -> np.ndarray:
-    """(offset, length, doc_id) per record; raises if the index is damaged."""
+    """(offset, length, 1 if there is an id, doc_id) per record; raises if the index is damaged."""
     with fs.open_input_file(path) as f:
         raw = f.read()
     if len(raw) < 4 or masked(raw[:-4]) != struct.unpack("<I", raw[-4:])[0]:
         raise ValueError(f"{path}: the index doesn't match its checksum")
-    return np.frombuffer(raw[:-4], dtype="<i8").reshape(-1, 3)
+    return np.frombuffer(raw[:-4], dtype="<i8").reshape(-1, 4)
 
 
-def parse(record: bytes) -> tuple[int, np.ndarray]:
+def parse(record: bytes) -> tuple[int | None, np.ndarray]:
     """(doc_id, ids) of one framed record; raises if a checksum doesn't match."""
     length, check = struct.unpack_from("<QI", record)
     payload = record[12:12 + length]
     if masked(record[:8]) != check or len(record) != length + 16 or masked(payload) != struct.unpack_from("<I", record, 12 + length)[0]:
         raise ValueError("a record doesn't match its checksum")
-    doc, n, size = struct.unpack_from(_HEAD, payload)
+    known, doc, n, size = struct.unpack_from(_HEAD, payload)
     raw = zstandard.ZstdDecompressor().decompress(payload[struct.calcsize(_HEAD):], max_output_size=max(1, n * size))
-    return doc, np.frombuffer(raw, dtype=f"<u{size}")
+    return doc if known else None, np.frombuffer(raw, dtype=f"<u{size}")
 
 
 def read_records(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
@@ -314,7 +314,8 @@ def read_records(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
                 with fs.open_input_stream(base + ".rec") as f:
                     for lo in range(0, len(index), 512):
                         out = []
-                        for place, (offset, length, doc) in enumerate(index[lo:lo + 512].tolist(), lo):
+                        for place, (offset, length, known, doc) in enumerate(index[lo:lo + 512].tolist(), lo):
+                            doc = doc if known else None
                             found, ids = parse(f.read(length + 16))
                             if found != doc:
                                 raise ValueError(f"{file}: record {place} isn't the one the index names")

@@ -112,32 +112,96 @@ def _edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
 
-def _verified(cap: int, max_bits: int):
-    """Over rows sorted by key: (a, b) for each pair of a key within ``max_bits``; (a, a) for every
-    member of a key with more than ``cap`` fingerprints. Holds at most one run of ``cap`` rows back."""
-    def pairs(key, fp):
-        if not len(key):
-            return
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        large = np.repeat(size > cap, size)
-        if large.any():
-            dense = np.unique(fp[large])
-            yield _edges(dense, dense)
-            key, fp = key[~large], fp[~large]
-        found = []
-        for s in range(1, cap):
-            same = np.flatnonzero(key[s:] == key[:-s])
-            if not len(same):
-                break
-            a, b = fp[same], fp[same + s]
-            near = (np.bitwise_count(a ^ b) <= max_bits) & (a != b)
-            found.append(np.stack([np.minimum(a[near], b[near]), np.maximum(a[near], b[near])], axis=1))
-        if found and len(found := np.unique(np.concatenate(found), axis=0)):
-            yield _edges(np.ascontiguousarray(found[:, 0]), np.ascontiguousarray(found[:, 1]))
+class _Forest:
+    """Links that join two trees of what a task has seen; forgotten when ``room`` fingerprints are held, so that memory
+    is bounded (a link may then come again, which is harmless)."""
+
+    def __init__(self, room: int = 1 << 16):
+        self.room, self.up = room, {}
+
+    def _top(self, x: int) -> int:
+        up = self.up
+        top = x
+        while (above := up.setdefault(top, top)) != top:
+            top = above
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    def joined(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Places of the links (a, b) that join two trees."""
+        if len(self.up) > self.room:
+            self.up.clear()
+        out = []
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            x, y = self._top(x), self._top(y)
+            if x != y:
+                self.up[max(x, y)] = min(x, y)
+                out.append(i)
+        return np.array(out, dtype=np.int64)
+
+
+def _flat(up: np.ndarray) -> np.ndarray:
+    """The root of each node."""
+    while True:
+        above = up[up]
+        if np.array_equal(above, up):
+            return up
+        up = above
+
+
+def _spanning(key: np.ndarray, fp: np.ndarray, cap: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what the pairs of one key within ``max_bits`` connect, fewer than the rows: members of a key
+    are compared with the next, the one after it, and so on, and only links between different trees are kept."""
+    _, at = np.unique(fp, return_inverse=True)
+    root = np.arange(len(fp))
+    left, right = [], []
+    for s in range(1, cap):
+        same = np.flatnonzero(key[s:] == key[:-s])
+        if not len(same):
+            break
+        a, b = root[at[same]], root[at[same + s]]
+        near = (a != b) & (np.bitwise_count(fp[same] ^ fp[same + s]) <= max_bits)
+        if not near.any():
+            continue
+        pair, first = np.unique(np.sort(np.stack([a[near], b[near]]), axis=0), axis=1, return_index=True)
+        same = same[near][first]
+        for i, x, y in zip(same.tolist(), *pair.tolist()):
+            while root[x] != x:
+                x = root[x]
+            while root[y] != y:
+                y = root[y]
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                left.append(i)
+                right.append(i + s)
+        root = _flat(root)
+    return fp[left], fp[right]
+
 
+def _verified(cap: int, max_bits: int):
+    """Over rows sorted by key: links (a, b) that connect what the pairs of each key within ``max_bits`` connect, fewer
+    than the rows; (a, a) for every member of a key with more than ``cap`` fingerprints. Holds at most one run of
+    ``cap`` rows back."""
     def run(batches):
         key, fp, open_key = np.empty(0, np.uint64), np.empty(0, np.uint64), None
+        forest = _Forest()
+
+        def links(key, fp):
+            if not len(key):
+                return
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[start, len(key)])
+            large = np.repeat(size > cap, size)
+            if large.any():
+                dense = np.unique(fp[large])
+                yield _edges(dense, dense)
+            alone = np.repeat(size == 1, size) | large
+            a, b = _spanning(key[~alone], fp[~alone], cap, max_bits)
+            new = forest.joined(a, b)
+            if len(new):
+                yield _edges(np.minimum(a[new], b[new]), np.maximum(a[new], b[new]))
+
         for batch in batches:
             k, f = _unsigned(batch.column(0)), _unsigned(batch.column(2))
             if open_key is not None:  # the rest of a run already known to be large
@@ -152,22 +216,22 @@ def _verified(cap: int, max_bits: int):
             if not len(key):
                 continue
             cut = int(np.searchsorted(key.view(np.int64), key.view(np.int64)[-1], side="left"))
-            yield from pairs(key[:cut], fp[:cut])
+            yield from links(key[:cut], fp[:cut])
             key, fp = key[cut:], fp[cut:]
             if len(key) > cap:
                 dense = np.unique(fp)
                 yield _edges(dense, dense)
                 open_key, key, fp = key.view(np.int64)[0], key[:0], fp[:0]
-        yield from pairs(key, fp)
+        yield from links(key, fp)
 
     return run
 
 
 def _stars(max_bits: int):
     """Over rows sorted by key, then narrow variants first: links of each row to its key's first
-    fingerprint. Holds one row back."""
+    fingerprint, but for those between fingerprints that the task has connected before. Holds one row back."""
     def run(batches):
-        last_key, hub = None, None
+        last_key, hub, forest = None, None, _Forest()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -180,7 +244,9 @@ def _stars(max_bits: int):
             last_key, hub = key[-1], (hubs[-1], bool(hub_wide[-1]))
             if near.any():
                 pair = np.unique(np.stack([np.minimum(hubs[near], fp[near]), np.maximum(hubs[near], fp[near])], axis=1), axis=0)
-                yield _edges(np.ascontiguousarray(pair[:, 0]), np.ascontiguousarray(pair[:, 1]))
+                pair = pair[forest.joined(pair[:, 0], pair[:, 1])]
+                if len(pair):
+                    yield _edges(np.ascontiguousarray(pair[:, 0]), np.ascontiguousarray(pair[:, 1]))
 
     return run
 
@@ -235,18 +301,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, **params) -> DataFrame:
-    """One row of each component, columns as they came: that with the least id, and of rows that share the id, with the
-    least hash of the row and its text. An id on rows of several components stays once in each where it is
-    the least; rows without an id all stay."""
+    """One row of each component, columns as they came: that with the least id (rows without an id stand behind all that
+    have one), and of rows that share the id, with the least hash of the row and its text. An id on rows of several
+    components stays once in each where it is the least."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.xxhash64(whole).alias("_hash"), whole.alias("_row"))
     slim = rows.select(F.col("_id").alias("doc_id"), "_hash", F.col("_row").getField(text).alias("text"))
     hashed = staged(fingerprints(slim, "text", ["doc_id", "_hash"], shingle), "simhash-fp")
     named = _components(hashed.select("doc_id", "fp"), **params)
-    least = hashed.where(F.col("doc_id").isNotNull()).join(named, hashed.fp == named.r_fp).groupBy("group").agg(
-        F.min(F.struct("doc_id", "_hash")).alias("least"))
+    least = hashed.join(named, hashed.fp == named.r_fp).groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "_hash")).alias("least"))
     kept = least.select(F.col("least.doc_id").alias("_kept"), F.col("least._hash").alias("_kept_hash"))
     copies = Window.partitionBy("_kept", "_kept_hash").orderBy(F.col("_row").getField(text))  # rows alike in all columns
-    one = rows.join(kept, (F.col("_id") == F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash"))).withColumn(
+    one = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_hash") == F.col("_kept_hash"))).withColumn(
         "_n", F.row_number().over(copies)).where("_n = 1")
-    return one.select("_row.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    return one.select("_row.*")
