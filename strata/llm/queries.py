@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import automaton, budget, chat_trie, mcd, pii_crf, records, simhash, splitters, toxicity, url_rules
+from strata.llm import (
+    automaton, budget, chat_trie, mcd, pii_crf, records, simhash, splitters, toxicity, url_rules, vector_codes,
+)
 from strata.llm.common import prepare, table
 
 
@@ -61,7 +63,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automaton.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_records, op2_pii, op3_quality, op4_urls, op5_mix, op6_chat, op7_toxicity,
-                                   op8_simhash, op9_shards, op10_decontaminate)}
+                                   op8_simhash, op9_shards, op10_decontaminate, op11_vector_codes)}
 #: DuckDB SQL of the operators that SQL can express.
-ORACLE = {"op5_mix": budget.mix_sql()}
+ORACLE = {"op5_mix": budget.mix_sql(), "op11_vector_codes": vector_codes.encode_sql()}
