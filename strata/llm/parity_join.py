@@ -9,12 +9,14 @@ own may have, and cuts the sketch into n > D pieces, of which such a pair shares
 A set may then leave out n - D - 1 of its pieces, if every set leaves out by one order that depends on a piece alone: of the
 pieces that two sets share, the highest in that order stands above the n - D - 1 others, so neither leaves it out.
 Here the order is the number of odd bits, so empty and nearly empty pieces go, which would be alike in documents that
-have nothing else in common. D + 1 pieces per band are kept, whatever n is.
+have nothing else in common. A set keeps D + 1 pieces, where D is the greatest difference from any set it may link with in that
+band.
 
 Documents that meet in a piece are candidates. All pairs of a group aren't needed, only what they connect. First each
 member is compared with the least of its group. Then members of a group that are still in different components are
 compared with each other, in blocks, by shorter sketches of the same kind, whose distance must not be beyond the bound. What passes
-is verified on the sets themselves. Equal sets are one node.
+is verified on the sets themselves. Equal sets are one node. Only keys travel for all documents; shingles and short
+sketches are made anew for those that met others.
 """
 
 from __future__ import annotations
@@ -65,11 +67,17 @@ def bands(upto: int, share: int = SHARE) -> list[int]:
     return out
 
 
-def pieces(least: int, beyond: int, share: int = SHARE) -> tuple[int, int]:
-    """(pieces that a set keeps, pieces in all) of the band of pairs whose smaller set has ``least`` to ``beyond`` - 1
-    shingles."""
-    kept = greatest_difference(beyond - 1, (beyond - 1) * 100 // share, share) + 1
-    return kept, kept + max(1, int(kept * SPARE))
+def pieces(least: int, beyond: int, share: int = SHARE) -> int:
+    """Pieces of the sketch in the band of pairs whose smaller set has ``least`` to ``beyond`` - 1 shingles."""
+    most = greatest_difference(beyond - 1, (beyond - 1) * 100 // share, share)
+    return most + 1 + max(1, int((most + 1) * SPARE))
+
+
+def kept_pieces(size: int, beyond: int, share: int = SHARE) -> int:
+    """How many of them a set of this size keeps: one more than its greatest difference from a set that it may link with there.
+    The smaller set of a pair has fewer than ``beyond`` shingles."""
+    other = size * 100 // share if size < beyond else beyond - 1
+    return greatest_difference(size, other, share) + 1
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,7 +100,7 @@ def keys_of(hashes: np.ndarray, share: int = SHARE) -> np.ndarray:
     value = _mixed(place + np.uint64(1))
     out = []
     for band in range(max(0, len(edges) - 3), len(edges) - 1):
-        kept, n = pieces(edges[band], edges[band + 1], share)
+        n, kept = pieces(edges[band], edges[band + 1], share), kept_pieces(size, edges[band + 1], share)
         piece = (place >> np.uint64(16)) * np.uint64(n) >> np.uint64(32)
         start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]]) if len(piece) else np.empty(0, np.int64)
         content, odd = np.zeros(n, np.uint64), np.zeros(n, np.int64)
@@ -128,34 +136,58 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
 
 # -- sets ---------------------------------------------------------------------------------------------
 
-_SETS = "doc_id long, n long, sig binary, sid long, keys array<long>, sketch binary, shingles binary"
+_SETS = "doc_id long, n long, sig binary, sid long, keys array<long>"
+_NODES = "sig binary, n long, sketch binary, shingles binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    fields = [c.split() for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
 def _prepared(words: int, share: int):
+    """Over (doc_id, text): a row of ``_SETS`` each; ``sid`` and ``keys`` where the task meets a set for the first time."""
     def run(batches):
         part, made, seen = TaskContext.get().partitionId() << 33, 0, set()
-        names = [c.split()[0] for c in _SETS.split(", ")]
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         for batch in batches:
             out, held = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 h = shingles(text, words)
-                raw = h.tobytes()
-                sig = xxhash.xxh128_digest(raw) if len(h) else None
-                row = (doc, len(h), sig, None, None, None, None)
-                if len(h) and sig not in seen:  # a task names a set once
+                sig = xxhash.xxh128_digest(h.tobytes()) if len(h) else None
+                row = (doc, len(h), sig, None, None)
+                if len(h) and sig not in seen:
                     if len(seen) >= _SEEN:
                         seen.clear()  # a set may then be named again, which is harmless
                     seen.add(sig)
-                    row = (doc, len(h), sig, part + made, keys_of(h, share).view(np.int64), sketch_of(h), raw)
+                    row = (doc, len(h), sig, part + made, keys_of(h, share).view(np.int64))
                     made += 1
-                    held += 2 * len(raw)
+                    held += len(row[4]) * 8
                 out.append(row)
                 if held > _OUT_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                    yield _batch(out, _SETS)
+                    out, held = [], 0
+            if out:
+                yield _batch(out, _SETS)
+
+    return run
+
+
+def _again(words: int):
+    """Over (text, sig): a row of ``_NODES`` for each text that has this signature."""
+    def run(batches):
+        for batch in batches:
+            out, held = [], 0
+            for text, sig in zip(utf8(batch.column(0)), batch.column(1).cast(pa.binary()).to_pylist()):
+                raw = (h := shingles(text, words)).tobytes()
+                if xxhash.xxh128_digest(raw) == sig:
+                    out.append((sig, len(h), sketch_of(h), raw))
+                    held += 2 * len(raw)
+                if held > _OUT_BYTES:
+                    yield _batch(out, _NODES)
                     out, held = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                yield _batch(out, _NODES)
 
     return run
 
@@ -285,14 +317,17 @@ def _crossed(share: int):
     return run
 
 
-def _components(rows: DataFrame, share: int, block: int) -> DataFrame:
-    """(sig, component_id) of every set in ``rows``."""
-    nodes = rows.where("sid IS NOT NULL")
+def _components(docs: DataFrame, rows: DataFrame, words: int, share: int, block: int) -> DataFrame:
+    """(sig, component_id) of every set in ``rows``, which are made of ``docs`` (doc_id, text)."""
+    named_rows = rows.where("sid IS NOT NULL")
     by_set = staged(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("sid").alias("rep"), F.count("sid").alias("named"), F.min("doc_id").alias("least")),
                     "parity-sets")
-    again = staged(nodes.select("sig", "sid").join(by_set.where("named > 1").select("sig", "rep"), "sig").where("sid <> rep").select("sid"), "parity-again")
-    keyed = nodes.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
+    again = staged(named_rows.select("sig", "sid").join(by_set.where("named > 1").select("sig", "rep"), "sig").where("sid <> rep").select("sid"), "parity-again")
+    keyed = named_rows.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
     met = staged(keyed.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_groups(block), "key long, sid long, leader long, block long"), "parity-met")
+    wanted = staged(by_set.join(met.select("sid").distinct(), by_set.rep == F.col("sid")).select(F.col("least").alias("w_id"), "sig", "sid"), "parity-wanted")
+    made = docs.join(wanted.select("w_id", "sig"), F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "sig").mapInArrow(_again(words), _NODES)
+    nodes = staged(made.dropDuplicates(["sig"]).join(wanted.select("sig", "sid"), "sig").drop("sig"), "parity-nodes")
     first = met.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct()
     links = _verified(first, nodes, share, sketched=False)
     roots = staged(connected(links), "parity-roots")
@@ -328,7 +363,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         raise ValueError("share is in hundredths, from 1 to 100")
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     rows = staged(slim.mapInArrow(_prepared(words, share), _SETS), "parity-rows")
-    found = _components(rows, share, block)
+    found = _components(slim, rows, words, share, block)
     out = rows.select("doc_id", "n", "sig").join(found, F.col("sig") == F.col("c_sig"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
