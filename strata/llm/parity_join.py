@@ -12,10 +12,11 @@ Here the order is the number of odd bits, so empty and nearly empty pieces go, w
 have nothing else in common. A set keeps D + 1 pieces, where D is the greatest difference from any set it may link with in that
 band.
 
-Documents that meet in a piece are candidates. All pairs of a group aren't needed, only what they connect. First each
-member is compared with the least of its group. Then members of a group that are still in different components are
-compared with each other, in blocks, by shorter sketches of the same kind, whose distance must not be beyond the bound. What passes
-is verified on the sets themselves. Equal sets are one node. Only keys travel for all documents; shingles and short
+Documents that meet in a piece are candidates. All pairs of a group aren't needed, only what they connect. Groups with the same
+least member are put together, and each member travels once, however many pieces it shares. First each is compared
+with the least. Then members that are still in different components are compared with each other, in blocks. Both look at
+shorter sketches of the same kind first, whose distance must not be beyond the bound; what passes is verified on the sets
+themselves. Equal sets are one node. Only keys travel for all documents; shingles and short
 sketches are made anew for those that met others.
 """
 
@@ -137,7 +138,7 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
 # -- sets ---------------------------------------------------------------------------------------------
 
 _SETS = "doc_id long, n long, sig binary, sid long, keys array<long>"
-_NODES = "sig binary, n long, sketch binary, shingles binary"
+_NODES = "sid long, n long, sketch binary, shingles binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -174,14 +175,20 @@ def _prepared(words: int, share: int):
 
 
 def _again(words: int):
-    """Over (text, sig): a row of ``_NODES`` for each text that has this signature."""
+    """Over (text, sig, sid): a row of ``_NODES`` for each text that has this signature, once a task."""
     def run(batches):
+        seen = set()
         for batch in batches:
             out, held = [], 0
-            for text, sig in zip(utf8(batch.column(0)), batch.column(1).cast(pa.binary()).to_pylist()):
+            for text, sig, sid in zip(utf8(batch.column(0)), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()):
+                if sid in seen:
+                    continue
                 raw = (h := shingles(text, words)).tobytes()
                 if xxhash.xxh128_digest(raw) == sig:
-                    out.append((sig, len(h), sketch_of(h), raw))
+                    if len(seen) >= _SEEN:
+                        seen.clear()
+                    seen.add(sid)
+                    out.append((sid, len(h), sketch_of(h), raw))
                     held += 2 * len(raw)
                 if held > _OUT_BYTES:
                     yield _batch(out, _NODES)
@@ -194,89 +201,98 @@ def _again(words: int):
 
 # -- candidates ---------------------------------------------------------------------------------------
 
-def _groups(block: int):
-    """Over rows sorted by (key, sid): the rows of keys that several sets have, with the group's least set and the
-    number of the row's block. Holds one row back."""
+def _groups(batches):
+    """Over rows sorted by (key, sid): (leader, sid) of the rows of keys that several sets have, but for the leader, the group's
+    least set; once a task, as far as it remembers."""
+    last, leader, seen = None, None, set()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, sid = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        new = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))  # -1: the group goes on
+        least = np.where(start >= 0, sid[np.maximum(start, 0)], np.int64(leader or 0))
+        last, leader = key[-1], int(least[-1])
+        out = []
+        for pair in set(zip(least[~new].tolist(), sid[~new].tolist())):
+            if pair not in seen:
+                if len(seen) >= _SEEN:
+                    seen.clear()
+                seen.add(pair)
+                out.append(pair)
+        if out:
+            yield _batch(out, "leader long, sid long")
+
+
+def _numbered(block: int):
+    """Over rows sorted by (leader, sid), each once: (leader, sid, block), ``block`` members a block."""
     def run(batches):
-        last, leader, count = None, None, 0  # of the group that the batch before ended in
+        last, count = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, sid = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            new = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))  # -1: the group goes on
-            least = np.where(start >= 0, sid[np.maximum(start, 0)], np.int64(leader or 0))
-            place = np.where(start >= 0, np.arange(len(key)) - start, np.arange(len(key)) + count)
-            told = ~new | np.r_[~new[1:], False]
-            if told.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[told]) for x in (key, sid, least, place // block)], names=["key", "sid", "leader", "block"])
-            if count == 1 and not new[0]:  # the last row of the batch before has got company
-                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (last, leader, leader, 0)], names=["key", "sid", "leader", "block"])
-            last, leader, count = key[-1], int(least[-1]), int(place[-1]) + 1
+            leader = np.asarray(batch.column(0))
+            new = np.r_[last is None or leader[0] != last, leader[1:] != leader[:-1]]
+            start = np.maximum.accumulate(np.where(new, np.arange(len(leader)), -1))
+            place = np.where(start >= 0, np.arange(len(leader)) - start, np.arange(len(leader)) + count)
+            last, count = leader[-1], int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(place // block)], names=["leader", "sid", "block"])
 
     return run
 
 
-def _close(share: int):
-    """Of rows (a, b, n_a, sketch_a, n_b, sketch_b): (a, b) that sizes and sketches allow."""
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            na, nb = np.asarray(batch.column(2)), np.asarray(batch.column(4))
-            fits = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * share
-            most = greatest_difference(na, nb, share)
-            sa, sb = (batch.column(i).cast(pa.binary()).to_pylist() for i in (3, 5))
-            for i in np.flatnonzero(fits).tolist():
-                x, y = np.frombuffer(sa[i], np.uint64), np.frombuffer(sb[i], np.uint64)
-                least = min(len(x), len(y))
-                fits[i] = int(np.bitwise_count(_folded(x, least) ^ _folded(y, least)).sum()) <= most[i]
-            mask = pa.array(fits)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+def _near(na: int, a: bytes, nb: int, b: bytes, share: int) -> bool:
+    """Whether sizes and sketches allow a link."""
+    if min(na, nb) * 100 < max(na, nb) * share:
+        return False
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()) <= greatest_difference(na, nb, share)
 
-    return run
 
+def _similar(na: int, a: bytes, nb: int, b: bytes, share: int) -> bool:
+    """Whether two sets link."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= share * (na + nb - both)
 
-def _linked(share: int):
-    """Of rows (a, b, shingles_a, shingles_b): (a, b) whose sets are similar enough."""
+
+def _with_leader(test, share: int):
+    """Over rows (leader, block, sid, n, payload) sorted by leader, block and with the leader's own row first: (leader, sid) of the
+    members that pass ``test``. Holds the leader."""
     def run(batches):
+        held = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keep = []
-            for p, q in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).cast(pa.binary()).to_pylist()):
-                x, y = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= share * (len(x) + len(y) - both))
-            mask = pa.array(keep)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+            out = []
+            for leader, block, sid, n, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if sid == leader:
+                    held = (leader, block, n, payload)
+                elif held[:2] == (leader, block) and test(held[2], held[3], n, payload, share):
+                    out.append((leader, sid))
+            if out:
+                yield _batch(out, "leader long, sid long")
 
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, share: int, sketched: bool) -> DataFrame:
-    """The pairs (a, b) that link; ``sketched`` if their sketches have been compared."""
-    def side(of: str, *cols: str) -> DataFrame:
-        return nodes.select(F.col("sid").alias(of), *[F.col(c).alias(f"{c}_{of}") for c in cols])
-
-    if not sketched:
-        near = pairs.join(side("a", "n", "sketch"), "a").join(side("b", "n", "sketch"), "b")
-        pairs = staged(near.select("a", "b", "n_a", "sketch_a", "n_b", "sketch_b").mapInArrow(_close(share), "a long, b long"), "parity-near")
-    sets = pairs.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b")
-    return staged(sets.select("a", "b", "shingles_a", "shingles_b").mapInArrow(_linked(share), "a long, b long"), "parity-links")
+def _led(members: DataFrame, nodes: DataFrame, payload: str, test, share: int, name: str) -> DataFrame:
+    """The members (leader, sid, block) that pass ``test`` with their leader, which is sent along with every block."""
+    leaders = members.select("leader", "block").distinct().select("leader", F.col("leader").alias("sid"), "block")
+    rows = members.select("leader", "sid", "block").unionByName(leaders).join(nodes.select("sid", "n", payload), "sid")
+    rows = rows.select("leader", "block", "sid", "n", payload).repartition("leader", "block").sortWithinPartitions(
+        "leader", "block", F.col("sid") != F.col("leader"), "sid")
+    return staged(rows.mapInArrow(_with_leader(test, share), "leader long, sid long"), name)
 
 
 def _crossed(share: int):
-    """Over rows (key, low, high, block, sid, leader, comp, n, sketch) sorted by key, low, high: pairs of different
-    components that sizes and sketches allow, between block ``low`` and block ``high`` of a group, but for those with
-    its leader. Holds two blocks."""
+    """Over rows (leader, low, high, block, sid, comp, n, sketch) sorted by leader, low, high: pairs of different components that
+    sizes and sketches allow, between block ``low`` and block ``high`` of a group. Holds two blocks."""
     def pairs(held):
-        words = min(len(r[8]) for r in held) // 8
-        sketch = np.stack([_folded(np.frombuffer(r[8], np.uint64), words) for r in held])
+        words = min(len(r[7]) for r in held) // 8
+        sketch = np.stack([_folded(np.frombuffer(r[7], np.uint64), words) for r in held])
         low, high, block = held[0][1], held[0][2], np.array([r[3] for r in held])
-        sid, leader, comp, n = (np.array([r[i] for r in held]) for i in (4, 5, 6, 7))
-        left = np.flatnonzero((block == low) & (sid != leader))
-        right = np.flatnonzero((block == high) & (sid != leader))
+        sid, comp, n = (np.array([r[i] for r in held]) for i in (4, 5, 6))
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
         step = max(1, (1 << 22) // max(1, words * len(right)))
         for i in range(0, len(left), step):
             a, b = left[i:i + step][:, None], right[None, :]
@@ -284,8 +300,6 @@ def _crossed(share: int):
             if low == high:
                 fits &= a < b
             x, y = np.nonzero(fits)
-            if not len(x):
-                continue
             a, b = left[i:i + step][x], right[y]
             for j in range(0, len(a), 1 << 15):
                 p, q = a[j:j + (1 << 15)], b[j:j + (1 << 15)]
@@ -298,13 +312,13 @@ def _crossed(share: int):
         def new():
             out = []
             for pair in pairs(held) if len(held) > 1 else ():
-                if pair not in seen:  # most pairs meet in several pieces
+                if pair not in seen:  # a pair may meet under several leaders
                     if len(seen) >= _SEEN:
                         seen.clear()
                     seen.add(pair)
                     out.append(pair)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+                yield _batch(out, "a long, b long")
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -317,31 +331,51 @@ def _crossed(share: int):
     return run
 
 
+def _linked(share: int):
+    """Of rows (a, b, n_a, shingles_a, n_b, shingles_b): (a, b) whose sets link."""
+    def run(batches):
+        for batch in batches:
+            out = [r[:2] for r in zip(*(c.to_pylist() for c in batch.columns)) if _similar(*r[2:], share)]
+            if out:
+                yield _batch(out, "a long, b long")
+
+    return run
+
+
 def _components(docs: DataFrame, rows: DataFrame, words: int, share: int, block: int) -> DataFrame:
     """(sig, component_id) of every set in ``rows``, which are made of ``docs`` (doc_id, text)."""
-    named_rows = rows.where("sid IS NOT NULL")
+    named = rows.where("sid IS NOT NULL")
     by_set = staged(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("sid").alias("rep"), F.count("sid").alias("named"), F.min("doc_id").alias("least")),
                     "parity-sets")
-    again = staged(named_rows.select("sig", "sid").join(by_set.where("named > 1").select("sig", "rep"), "sig").where("sid <> rep").select("sid"), "parity-again")
-    keyed = named_rows.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
-    met = staged(keyed.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_groups(block), "key long, sid long, leader long, block long"), "parity-met")
-    wanted = staged(by_set.join(met.select("sid").distinct(), by_set.rep == F.col("sid")).select(F.col("least").alias("w_id"), "sig", "sid"), "parity-wanted")
-    made = docs.join(wanted.select("w_id", "sig"), F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "sig").mapInArrow(_again(words), _NODES)
-    nodes = staged(made.dropDuplicates(["sig"]).join(wanted.select("sig", "sid"), "sig").drop("sig"), "parity-nodes")
-    first = met.where("sid <> leader").select(F.col("leader").alias("a"), F.col("sid").alias("b")).distinct()
-    links = _verified(first, nodes, share, sketched=False)
+    again = staged(named.select("sig", "sid").join(by_set.where("named > 1").select("sig", "rep"), "sig").where("sid <> rep").select("sid"), "parity-again")
+    keyed = named.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
+    met = keyed.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_groups, "leader long, sid long").distinct()
+    members = staged(met.repartition("leader").sortWithinPartitions("leader", "sid").mapInArrow(_numbered(block), "leader long, sid long, block long"), "parity-members")
+
+    used = members.select("sid").unionByName(members.select(F.col("leader").alias("sid"))).distinct()
+    wanted = staged(by_set.join(used, by_set.rep == F.col("sid")).select(F.col("least").alias("w_id"), "sig", "sid"), "parity-wanted")
+    made = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "sig", "sid").mapInArrow(_again(words), _NODES)
+    nodes = staged(made, "parity-nodes")
+    if nodes.count() > wanted.count():  # repeated rows in several tasks
+        nodes = staged(nodes.dropDuplicates(["sid"]), "parity-nodes")
+
+    close = _led(members, nodes, "sketch", _near, share, "parity-near")
+    close = members.join(close, ["leader", "sid"], "left_semi")
+    links = _led(close, nodes, "shingles", _similar, share, "parity-links").select(F.col("leader").alias("a"), F.col("sid").alias("b"))
     roots = staged(connected(links), "parity-roots")
 
-    named = staged(met.join(roots, met.sid == roots.node, "left").select("key", "block", "sid", "leader", F.coalesce("root", "sid").alias("comp")), "parity-comp")
-    apart = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("block").alias("top")).where("x <> y").select("key", "top")
+    placed = staged(members.join(roots, members.sid == roots.node, "left").select("leader", "block", "sid", F.coalesce("root", "sid").alias("comp")), "parity-comp")
+    apart = placed.groupBy("leader").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("block").alias("top")).where("x <> y").select("leader", "top")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("top")))
-    blocks = named.join(staged(apart, "parity-apart"), "key").select("key", "block", "sid", "leader", "comp", other.alias("other"))
+    blocks = placed.join(staged(apart, "parity-apart"), "leader").select("leader", "block", "sid", "comp", other.alias("other"))
     cut = blocks.join(nodes.select("sid", "n", "sketch"), "sid").select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "sid", "leader", "comp", "n", "sketch")
-    crossed = (cut.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "block", "sid")
+        "leader", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "sid", "comp", "n", "sketch")
+    crossed = (cut.repartition("leader", "low", "high").sortWithinPartitions("leader", "low", "high", "block", "sid")
                .mapInArrow(_crossed(share), "a long, b long").distinct())
-    more = _verified(staged(crossed, "parity-crossed"), nodes, share, sketched=True)
-    roots = staged(connected(links.unionByName(more)), "parity-roots")
+    crossed = staged(crossed, "parity-crossed")
+    sides = [nodes.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("shingles").alias(f"s_{x}")) for x in "ab"]
+    more = crossed.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "s_a", "n_b", "s_b").mapInArrow(_linked(share), "a long, b long")
+    roots = staged(connected(links.unionByName(staged(more, "parity-links"))), "parity-roots")
 
     of_set = by_set.join(roots, by_set.rep == roots.node, "left").select("sig", "least", F.coalesce("root", "rep").alias("group"))
     of_set = staged(of_set, "parity-groups")
