@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
-    automaton, budget, chat_trie, mcd, parity_join, pii_crf, records, simhash, splitters, toxicity, url_rules, vector_codes,
+    automaton, budget, chat_trie, mcd, parity_join, pii_crf, prefix_trie, records, simhash, splitters, toxicity, url_rules, vector_codes,
 )
 from strata.llm.common import prepare, table
 
@@ -68,12 +68,19 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.encode(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return prefix_trie.prefixes(table(spark, sf_dir, "conversations"))
+
+
 def op13_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return parity_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_records, op2_pii, op3_quality, op4_urls, op5_mix, op6_chat, op7_toxicity,
-                                   op8_simhash, op9_shards, op10_decontaminate, op11_vector_codes, op13_parity_join)}
+                                   op8_simhash, op9_shards, op10_decontaminate, op11_vector_codes, op12_prefix_trie,
+                                   op13_parity_join)}
 #: DuckDB SQL of the operators that SQL can express.
-ORACLE = {"op5_mix": budget.mix_sql(), "op11_vector_codes": vector_codes.encode_sql(), "op13_parity_join": parity_join.near_duplicates_sql()}
+ORACLE = {"op5_mix": budget.mix_sql(), "op11_vector_codes": vector_codes.encode_sql(), "op12_prefix_trie": prefix_trie.prefixes_sql(),
+          "op13_parity_join": parity_join.near_duplicates_sql()}
