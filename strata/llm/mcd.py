@@ -1,19 +1,22 @@
 """Quality rules by robust multivariate outliers: a minimum-covariance-determinant estimate per language
 and source over transformed text statistics, and rejection by Mahalanobis distance. DataFrame functions only.
 
-The estimate is the usual concentration: start from medians and quartiles, keep the ``SUBSET`` share of
-rows with the least distance, take their mean and covariance, repeat, then reweight once. Statistics
-are whole thousandths, so sums are exact integers, and quantiles are exact over a bounded grid of
-values: the verdict doesn't depend on the order of rows or tasks, and every aggregate is combined
-before its shuffle. Groups with fewer than ``MIN_ROWS`` rows are judged by an estimate over all rows of
-their language; languages with fewer rows share one estimate, and where even that is too small, nothing is rejected.
+The estimate is that subset of ``SUBSET`` of a group's rows whose covariance has the least determinant that concentration
+finds: from each of three starts (medians and quartile ranges; mean and covariance of all rows; those of the inner
+half), keep the rows with the least distance, take their mean and covariance, and repeat while the determinant
+falls. The least of the three is reweighted once. Statistics are whole thousandths, so sums are exact integers, and distances
+are ranked on a bounded grid of values: the verdict doesn't depend on the order of rows or tasks. A step reads the rows once
+and sums them by group and grid value before its shuffle; what is left is bounded by the grid.
+
+Groups with fewer than ``MIN_ROWS`` rows are judged by an estimate over all rows of their language, and languages with fewer by one
+over all rows of the table. Only a table that has fewer isn't judged.
 """
 
 from __future__ import annotations
 
 from math import exp, lgamma, log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import let, staged
@@ -21,7 +24,8 @@ from strata.llm.common import let, staged
 SPACE = r"[\x20\x09-\x0D]+"
 _BLANKS, _SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
 WINDOW, MIN_WORDS, MAX_REPEAT_PCT = 8, 20, 30
-SUBSET, STEPS, MIN_ROWS = 0.75, 3, 200
+SUBSET, INNER, MIN_ROWS = 0.75, 0.5, 200
+MAX_STEPS, FALL = 50, 1e-9  # steps of concentration, and by how much the determinant's logarithm has to fall for another
 REWEIGHT, REJECT = 0.975, 1 - 1e-9  # quantiles of the chi-square law
 SCALE = 1000  # statistics in whole thousandths
 #: Least spread of a statistic, in its own unit: where most rows of a group have the same value, the
@@ -127,13 +131,16 @@ def _name(col: str) -> Column:
 
 def _groups(rows: DataFrame, min_rows: int) -> tuple[DataFrame, DataFrame]:
     """Two tables (_lang, _source, _group): whose estimate judges the rows of a language and source, and which
-    estimates they count for (their own, and their language's if a small source needs it)."""
+    estimates they count for: their own, their language's if a small source needs it, that of all rows if a small language does."""
     n = rows.groupBy("_lang", "_source").agg(F.count("*").alias("n"))
     by_lang = n.groupBy("_lang").agg(F.sum("n").alias("in_lang"), F.min("n").alias("least"))
     sized = staged(n.join(by_lang, "_lang"), "mcd-sized")
-    own, lang = F.concat_ws("\x1f", F.lit("s"), "_lang", "_source"), F.concat_ws("\x1f", F.lit("l"), "_lang")
-    judge = F.when(F.col("n") >= min_rows, own).when(F.col("in_lang") >= min_rows, lang).otherwise("a")
-    counts = F.array_distinct(F.when((F.col("in_lang") >= min_rows) & (F.col("least") < min_rows), F.array(judge, lang)).otherwise(F.array(judge)))
+    small = sized.agg(F.min("in_lang")).first()[0]
+    own, lang, all_ = F.concat_ws("\x1f", F.lit("s"), "_lang", "_source"), F.concat_ws("\x1f", F.lit("l"), "_lang"), F.lit("a")
+    in_lang = F.col("in_lang") >= min_rows
+    judge = F.when(F.col("n") >= min_rows, own).when(in_lang, lang).otherwise(all_)
+    counts = F.array_compact(F.array(F.when(F.col("n") >= min_rows, own), F.when(in_lang & (F.col("least") < min_rows), lang),
+                                     all_ if small is not None and small < min_rows else F.lit(None).cast("string")))
     return sized.select("_lang", "_source", judge.alias("_group")), sized.select("_lang", "_source", F.explode(counts).alias("_group"))
 
 
@@ -152,9 +159,10 @@ def _bin(d2: Column) -> Column:
     return F.least(F.round(F.log1p(F.greatest(d2, F.lit(0.0))) * 200), F.lit(20000.0)).cast("int")
 
 
-def _inverse(m: Column) -> Column:
-    """The inverse of a positive definite matrix (flat array), by sweeping each pivot."""
-    def sweep(a, k):
+def _swept(m: Column) -> Column:
+    """(inverse, logarithm of the determinant) of a positive definite matrix (flat array), by sweeping each pivot."""
+    def sweep(acc, k):
+        a = acc["a"]
         piv = F.get(a, k * (D + 1))
 
         def cell(idx):
@@ -162,31 +170,39 @@ def _inverse(m: Column) -> Column:
             ik, kj, v = F.get(a, i * D + k), F.get(a, k * D + j), F.get(a, idx)
             return (F.when((i == k) & (j == k), -1.0 / piv).when(i == k, v / piv).when(j == k, v / piv)
                     .otherwise(v - ik * kj / piv))
-        return F.transform(F.sequence(F.lit(0), F.lit(D * D - 1)), cell)
+        return F.struct(F.transform(F.sequence(F.lit(0), F.lit(D * D - 1)), cell).alias("a"), (acc["d"] + F.log(piv)).alias("d"))
 
-    swept = F.aggregate(F.sequence(F.lit(0), F.lit(D - 1)), m, sweep)
-    return F.transform(swept, lambda v: -v)
+    start = F.struct(m.alias("a"), F.lit(0.0).alias("d"))
+    out = F.aggregate(F.sequence(F.lit(0), F.lit(D - 1)), start, sweep)
+    return let(out, lambda v: F.struct(F.transform(v["a"], lambda x: -x).alias("inverse"), v["d"].alias("logdet")))
 
 
-def _moments(rows: DataFrame, factor: float) -> DataFrame:
-    """(_group, _mean, _prec) of the rows, the covariance made consistent and at least the floors."""
-    pair = [(i, j) for i in range(D) for j in range(i, D)]
-    sums = rows.groupBy("_group").agg(
-        F.count("*").cast("double").alias("n"), *[F.sum(_X[i]).cast("double").alias(f"s{i}") for i in range(D)],
-        *[F.sum(F.col(_X[i]) * F.col(_X[j])).cast("double").alias(f"p{i}_{j}") for i, j in pair])
+_PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
+_SUMS = ["_n", *[f"_s{i}" for i in range(D)], *[f"_p{i}_{j}" for i, j in _PAIRS]]
+
+
+def _sums() -> list[Column]:
+    """Count, sums and sums of products of rows, as exact integers."""
+    return [F.count("*").alias("_n"), *[F.sum(_X[i]).alias(f"_s{i}") for i in range(D)],
+            *[F.sum(F.col(_X[i]) * F.col(_X[j])).alias(f"_p{i}_{j}") for i, j in _PAIRS]]
+
+
+def _moments(sums: DataFrame, by: list[str], factor: float) -> DataFrame:
+    """``by`` with _mean, _prec and _logdet from rows of ``_sums``, the covariance made consistent and widened by the floors."""
     floor = [(f * SCALE) ** 2 for f in FLOORS.values()]
+    all_ = sums.groupBy(*by).agg(*[F.sum(c).cast("double").alias(c) for c in _SUMS])
 
     def cov(i, j):
         a, b = min(i, j), max(i, j)
-        c = (F.col(f"p{a}_{b}") / F.col("n") - F.col(f"s{a}") / F.col("n") * F.col(f"s{b}") / F.col("n")) * factor
+        c = (F.col(f"_p{a}_{b}") / F.col("_n") - F.col(f"_s{a}") / F.col("_n") * F.col(f"_s{b}") / F.col("_n")) * factor
         return c + floor[i] if i == j else c
 
-    m = sums.select("_group", F.array(*[F.col(f"s{i}") / F.col("n") for i in range(D)]).alias("_mean"),
-                    F.array(*[cov(i, j) for i in range(D) for j in range(D)]).alias("_cov"))
-    return m.select("_group", "_mean", _inverse(F.col("_cov")).alias("_prec"))
+    m = all_.select(*by, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(D)]).alias("_mean"),
+                    _swept(F.array(*[cov(i, j) for i in range(D) for j in range(D)])).alias("_m"))
+    return m.select(*by, "_mean", F.col("_m.inverse").alias("_prec"), F.col("_m.logdet").alias("_logdet"))
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _medians(rows: DataFrame) -> DataFrame:
     """Medians, and quartile ranges as a diagonal."""
     q = rows.groupBy("_group").agg(*[F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}")
                                      for i, x in enumerate(_X)])
@@ -196,16 +212,41 @@ def _start(rows: DataFrame) -> DataFrame:
                     F.array(*[1.0 / (var[i] * var[i]) if i == j else F.lit(0.0) for i in range(D) for j in range(D)]).alias("_prec"))
 
 
-def estimate(rows: DataFrame, subset: float = SUBSET, steps: int = STEPS) -> DataFrame:
+def _concentrated(rows: DataFrame, model: DataFrame, subset: float) -> DataFrame:
+    """(_group, _start, _mean, _prec, _logdet) of the ``subset`` of each group's rows with the least distance from ``model``
+    (with ``_group`` and ``_start``): the grid values up to that of the row of rank ``subset * (n - 1)``."""
+    by = ["_group", "_start"]
+    binned = rows.join(model.select(*by, "_mean", "_prec"), "_group").withColumn("_bin", _bin(_distance([F.col(x) for x in _X])))
+    bins = staged(binned.groupBy(*by, "_bin").agg(*_sums()), "mcd-bins")  # bounded by groups and grid
+    in_order = Window.partitionBy(*by).orderBy("_bin")
+    before = F.coalesce(F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("_n").over(Window.partitionBy(*by))
+    inner = bins.withColumn("_before", before).withColumn("_all", total).where(F.col("_before") <= F.floor((F.col("_all") - 1) * subset))
+    return _moments(inner, by, consistency(subset, D))
+
+
+def estimate(rows: DataFrame, subset: float = SUBSET) -> DataFrame:
     """(_group, _mean, _prec) from rows with ``_group`` and the statistics, as a staged table with one row per group."""
     rows = rows.select("_group", *_X)
-    model = staged(_start(rows), "mcd")
-    for _ in range(steps):
-        near = rows.join(model, "_group").select("_group", *_X, _bin(_distance([F.col(x) for x in _X])).alias("_bin"))
-        cutoff = near.groupBy("_group").agg(F.percentile("_bin", F.lit(subset)).alias("_cut"))
-        model = staged(_moments(near.join(cutoff, "_group").where("_bin <= _cut"), consistency(subset, D)), "mcd")
-    near = rows.join(model, "_group").where(_distance([F.col(x) for x in _X]) <= chi2_quantile(REWEIGHT, D))
-    return staged(_moments(near, consistency(REWEIGHT, D)), "mcd")
+    medians = staged(_medians(rows).withColumn("_start", F.lit("medians")), "mcd-medians")
+    whole = _moments(rows.groupBy("_group").agg(*_sums()), ["_group"], 1.0).withColumn("_start", F.lit("all"))
+    inner = _concentrated(rows, medians, INNER).withColumn("_start", F.lit("inner"))
+    cols = ["_group", "_start", "_mean", "_prec"]
+    starts = staged(medians.select(*cols).unionByName(whole.select(*cols)).unionByName(inner.select(*cols)), "mcd-starts")
+    model = staged(_concentrated(rows, starts, subset).withColumn("_fell", F.lit(True)), "mcd")
+    for _ in range(MAX_STEPS):
+        if not model.where("_fell").limit(1).count():
+            break
+        new = _concentrated(rows, model.where("_fell"), subset).select(
+            F.col("_group").alias("n_group"), F.col("_start").alias("n_start"), *[F.col(c).alias(f"n{c}") for c in ("_mean", "_prec", "_logdet")])
+        both = model.join(new, (F.col("_group") == F.col("n_group")) & (F.col("_start") == F.col("n_start")), "left")
+        fell = F.coalesce(F.col("n_logdet") < F.col("_logdet") - FALL, F.lit(False))
+        model = staged(both.select("_group", "_start", *[F.when(fell, F.col(f"n{c}")).otherwise(F.col(c)).alias(c) for c in ("_mean", "_prec", "_logdet")],
+                                   fell.alias("_fell")), "mcd")
+    best = model.groupBy("_group").agg(F.min_by(F.struct("_mean", "_prec"), F.struct("_logdet", "_start")).alias("_m"))
+    best = staged(best.select("_group", "_m._mean", "_m._prec"), "mcd-best")
+    near = rows.join(best, "_group").where(_distance([F.col(x) for x in _X]) <= chi2_quantile(REWEIGHT, D))
+    return staged(_moments(near.groupBy("_group").agg(*_sums()), ["_group"], consistency(REWEIGHT, D)).drop("_logdet"), "mcd")
 
 
 def measured(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
@@ -236,7 +277,7 @@ def verdicts(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
 def judge(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", source: str = "source",
           min_rows: int = MIN_ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base statistics, base_failed, kept, distance (null where
-    the base failed or no estimate exists). Null and blank texts fail the base rule; a null language
+    the base failed or the table is too small for an estimate). Null and blank texts fail the base rule; a null language
     or source is a group of its own; repeated rows each count; extra columns are not read."""
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
                        F.col(f"`{lang}`").alias("lang"), F.col(f"`{source}`").alias("source"))

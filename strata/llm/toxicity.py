@@ -42,6 +42,8 @@ FEATURES, BEGIN, THRESHOLD = 1 << 22, 5, 0.3
 
 _PAD = " " * (ORDER - 1)
 PIECE = 1 << 16  # characters counted at once
+HELD = 1 << 22  # characters of different words held before they are counted
+STRETCH = 4096  # characters decoded at once
 _CODE = np.full(256, _ELSE, dtype=np.int64)
 _CODE[97:123] = np.arange(26)
 _CODE[32] = _EDGE
@@ -84,34 +86,41 @@ def _counted(pieces: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return codes, np.bincount(inverse, weights=w).astype(np.int64)
 
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n) over all documents, summed in each task before the shuffle; lower case, split at blanks."""
+def sequence_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(code, n): how often each sequence of ORDER characters stands in the words of all documents (lower case, split at
+    blanks). A task counts in an array of 28 ** 4 numbers, so words don't travel and memory is bounded; words of long texts
+    without blanks are counted in pieces."""
     def run(batches):
+        total = np.zeros(SYMBOLS ** ORDER, np.int64)
         held: Counter = Counter()
+        size = 0
+
+        def count():
+            for pieces, weights in _pieces(list(held), np.fromiter(held.values(), np.int64, len(held))):
+                codes, n = _counted(pieces, weights)
+                total[codes] += n
+            held.clear()
+
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 if t:
                     held.update(t.lower().split())
-            if len(held) > 200_000:
-                yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
-                held = Counter()
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+                    size += len(t)
+                    if size >= HELD:
+                        count()
+                        size = 0
+        count()
+        some = np.flatnonzero(total)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["code", "n"])
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(f"`{text}`")).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def language_model(words: DataFrame) -> np.ndarray:
-    """log P(character | three before it), from (word, n). There are 28 ** 4 sequences at most, so the counts
+def language_model(counts: DataFrame) -> np.ndarray:
+    """log P(character | three before it), from (code, n). There are 28 ** 4 sequences at most, so the counts
     that come to the driver have a fixed bound (614,656 short rows)."""
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                for pieces, weights in _pieces(batch.column(0).to_pylist(), np.asarray(batch.column(1))):
-                    codes, n = _counted(pieces, weights)
-                    yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
-
-    got = words.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    got = counts.toPandas()
     return _smoothed(got["code"].to_numpy(dtype=np.int64), got["n"].to_numpy(dtype=np.float64))
 
 
@@ -133,9 +142,10 @@ def _smoothed(codes: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 # -- decoding -----------------------------------------------------------------------------------------
 
-# what may be disguised: letters and look-alikes together, letters three times or more, letters one by one
-_MIXED = re.compile(rf"[a-z{re.escape(_LOOK)}]*(?:[a-z][{re.escape(_LOOK)}]|[{re.escape(_LOOK)}][a-z])[a-z{re.escape(_LOOK)}]*")
-_LONG = re.compile(r"[a-z]*([a-z])\1\1[a-z]*")
+# what may be disguised: runs of letters and look-alikes that hold both, runs of letters with one three times or more, letters
+# one by one. Runs are found first and then asked, so each character is looked at a bounded number of times.
+_RUN, _ODD_ONE, _LETTER_ONE = re.compile(rf"[a-z{re.escape(_LOOK)}]+"), re.compile(f"[{re.escape(_LOOK)}]"), re.compile("[a-z]")
+_LETTERS, _TRIPLE = re.compile("[a-z]+"), re.compile(r"([a-z])\1\1")
 _APART = re.compile(rf"(?<![^\W_])(?:([a-z{re.escape(_LOOK)}])\1*+[{_GAPS}]++){{2,}}([a-z{re.escape(_LOOK)}])\2*+(?![^\W_])")
 _GAP_RUN = re.compile(rf"([{_GAPS}])[{_GAPS}]+")
 _UNIT = re.compile(r"(.)\1*", re.S)
@@ -194,13 +204,21 @@ class Restorer:
             out.append(piece)
         return "".join(reversed(out))
 
-    def _put(self, m: re.Match) -> str:
+    def _read(self, s: str) -> str:
+        """A long stretch is decoded in pieces of ``STRETCH`` characters, each like a word of its own: bounded memory."""
+        if len(s) <= 200:
+            return self.decode(s)
+        return "".join(self._decode(s[i:i + STRETCH]) for i in range(0, len(s), STRETCH))
+
+    def _put_mixed(self, m: re.Match) -> str:
         s = m[0]
-        return self.decode(s) if len(s) <= 200 else self._decode(s)
+        return self._read(s) if _ODD_ONE.search(s) and _LETTER_ONE.search(s) else s
+
+    def _put_long(self, m: re.Match) -> str:
+        return self._read(m[0]) if _TRIPLE.search(m[0]) else m[0]
 
     def _put_apart(self, m: re.Match) -> str:
-        s = _GAP_RUN.sub(r"\1", m[0])  # some separators together part letters like one
-        return self.decode(s) if len(s) <= 200 else self._decode(s)
+        return self._read(_GAP_RUN.sub(r"\1", m[0]))  # some separators together part letters like one
 
     def restore(self, text: str) -> str:
         """The lower-cased text with every suspicious stretch replaced by its likeliest reading."""
@@ -209,9 +227,9 @@ class Restorer:
         if apart:
             low = _APART.sub(self._put_apart, low)
         if mixed:
-            low = _MIXED.sub(self._put, low)
+            low = _RUN.sub(self._put_mixed, low)
         if long:
-            low = _LONG.sub(self._put, low)
+            low = _LETTERS.sub(self._put_long, low)
         return low
 
 
@@ -309,12 +327,17 @@ def held_out(doc_id):
 
 
 def _train(docs: DataFrame, labels: DataFrame, lm, train_docs: int) -> Score:
-    """The score from the ``train_docs`` labelled rows, not held out, whose ids hash lowest."""
+    """The score from the ``train_docs`` labelled ids, not held out, that hash lowest; an id's least text is read."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
+    known = staged(known, "toxic-known")
+    # the lowest hashes: those below a bound that leaves half as many again, then exactly the first of them
+    share = min(1.0, 1.5 * (train_docs + 100) / max(1, known.count()))
+    below = F.xxhash64("doc_id") <= F.lit(int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else (1 << 63) - 1)
+    drawn = known.where(below).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     drawn = staged(drawn.select(F.col("doc_id").alias("l_id"), "toxic"), "toxic-train")  # at most train_docs short rows
-    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).select("text", "toxic")
+    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("l_id")).groupBy("l_id").agg(
+        F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")  # a row per id, also of a hot one
 
     def run(batches):
         restorer = Restorer(lm.value)
@@ -334,11 +357,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
     Null and empty texts get the bias alone; ids without a label are scored like any other; an id
     labelled twice counts as toxic if any label says so; null labels are left out; a null id is not held out; repeated
-    rows keep their rows. Without a label of either kind the score is the smoothed share of toxic ones.
+    rows keep their rows; stretches beyond ``STRETCH`` characters are decoded in pieces. Without a label of either kind the score is the smoothed share of toxic ones.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    lm = spark.sparkContext.broadcast(language_model(staged(word_counts(slim), "toxic-words")))
+    lm = spark.sparkContext.broadcast(language_model(sequence_counts(slim)))
     model = spark.sparkContext.broadcast(_train(slim, labels.select(F.col("doc_id").cast("long"), "toxic"), lm, train_docs))
 
     def run(batches):
