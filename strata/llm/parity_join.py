@@ -34,7 +34,7 @@ from strata.llm.components import connected
 
 WORDS, SHARE, SEED = 5, 80, 42  # words of a shingle, least similarity in hundredths
 SPARE = 0.25  # pieces beyond D + 1, as a share of them
-BITS_PER_SHINGLE, LEAST_BITS = 8, 512  # of the shorter sketches
+BITS_PER_SHINGLE, LEAST_BITS = 2, 512  # of the shorter sketches
 BLOCK = 1024  # members of a group compared at once
 _SEEN, _OUT_BYTES = 1 << 19, 8 << 20
 
@@ -278,7 +278,8 @@ def _with_leader(test, share: int):
 def _led(members: DataFrame, nodes: DataFrame, payload: str, test, share: int, name: str) -> DataFrame:
     """The members (leader, sid, block) that pass ``test`` with their leader, which is sent along with every block."""
     leaders = members.select("leader", "block").distinct().select("leader", F.col("leader").alias("sid"), "block")
-    rows = members.select("leader", "sid", "block").unionByName(leaders).join(nodes.select("sid", "n", payload), "sid")
+    asked = staged(members.select("leader", "sid", "block").unionByName(leaders), "parity-asked")  # of known size: few are sent to the nodes
+    rows = asked.join(nodes.select("sid", "n", payload), "sid")
     rows = rows.select("leader", "block", "sid", "n", payload).repartition("leader", "block").sortWithinPartitions(
         "leader", "block", F.col("sid") != F.col("leader"), "sid")
     return staged(rows.mapInArrow(_with_leader(test, share), "leader long, sid long"), name)
