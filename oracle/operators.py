@@ -147,6 +147,57 @@ def validate_sql() -> str:
     return with_(STAR + DEFECTS, "\nUNION ALL\n".join(parts))
 
 
+# ODS after files in which an event with n % 20 = 3 stands a day early too: the early version gave what is only inserted
+EARLY = f"""ods_early AS (
+  SELECT * REPLACE (CASE WHEN {_N} % 20 = 3 AND CAST(event_time AS DATE) - 1 IN (SELECT CAST(event_time AS DATE) FROM ods WHERE event_time IS NOT NULL)
+                         THEN CAST(999.9 AS DECIMAL(10,4)) ELSE depth END AS depth) FROM ods)"""
+
+# O-06 -----------------------------------------------------------------------------------------------
+# Columns and types of the source tables, written down here on their own; * marks the key, ! NOT NULL.
+_MEASURE_TYPES = ("mag decimal(5,2), depth decimal(10,4), nst int, gap decimal(6,2), dmin decimal(8,4), rms decimal(6,3), "
+                  "horizontal_error decimal(10,5), depth_error decimal(10,5), mag_error decimal(10,5), mag_nst int")
+DEFINITIONS = {
+    "stg.earthquake_raw": ("stg", "loaded_at timestamp, " + ", ".join(f"{c} string" for c in STG_COLS)),
+    "ods.earthquakes": ("ods", "id* string, event_time timestamp, updated_at timestamp, latitude decimal(12,8), longitude decimal(12,8), "
+                        "depth decimal(10,4), mag decimal(5,2), mag_type string, nst int, gap decimal(6,2), dmin decimal(8,4), rms decimal(6,3), "
+                        "horizontal_error decimal(10,5), depth_error decimal(10,5), mag_error decimal(10,5), mag_nst int, net string, place string, "
+                        "event_type string, status string, location_source string, mag_source string, region string, ods_loaded_at timestamp"),
+    "dm.dim_region": ("dim_region", "region_id* bigint, region_name! string"),
+    "dm.dim_time": ("dim_time", "time_id* bigint, event_time! timestamp, year int, month int, day int, hour int, quarter int, "
+                    "day_of_week string, is_weekend boolean"),
+    "dm.dim_location": ("dim_location", "location_id* bigint, region_id bigint, latitude decimal(12,8), longitude decimal(12,8), place string"),
+    "dm.dim_magnitude": ("dim_magnitude", "mag_type_id* bigint, mag_type! string, mag_source! string"),
+    "dm.dim_network": ("dim_network", "network_id* bigint, net! string, location_source! string"),
+    "dm.dim_status": ("dim_status", "status_id* bigint, status! string"),
+    "dm.dim_event_type": ("dim_event_type", "event_type_id* bigint, event_type! string"),
+    "dm.fact_earthquakes": ("fact", "id* string, " + ", ".join(f"{k} bigint" for k in FACT_KEYS) + f", {_MEASURE_TYPES}, dwh_loaded_at timestamp"),
+}
+
+
+def definitions_sql() -> str:
+    parts = []
+    for table, (rel, columns) in DEFINITIONS.items():
+        for column in _split(columns):
+            name, kind = column.split(" ", 1)
+            col = name.rstrip("*!")
+            parts.append(f"""SELECT '{table}' AS table_name, '{col}' AS column_name, '{kind}' AS data_type, {'*' in name} AS is_key,
+  {name != col} AS not_null, COUNT(*) - COUNT("{col}") AS n_nulls, COUNT(*) AS n_rows FROM {rel}""")
+    return star("\nUNION ALL\n".join(parts))
+
+
+def _split(columns: str) -> list[str]:
+    """Parts of a list of columns whose types may hold commas."""
+    out, depth, last = [], 0, ""
+    for c in columns:
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            out.append(last.strip())
+            last = ""
+        else:
+            last += c
+    return [*out, last.strip()]
+
+
 def catalog_sql() -> dict[str, str]:
     ods_cols = ", ".join(ODS_COLS)
     raw = base(f'SELECT *, {FEED_DATE} AS load_date FROM feed')
@@ -227,7 +278,11 @@ UNION ALL SELECT NULL AS id, COUNT(*) AS n FROM feed WHERE {_N} % 100 = 1 HAVING
         "o49_load_ods": base(f"SELECT {ods_cols} FROM ods"),
         "o50_load_dm": base(joined_back()),
         "o51_run_day": base(joined_back(where=" AND CAST(e.event_time AS DATE) = (SELECT min(CAST(event_time AS DATE)) FROM ods)")),
+        "o51_second_day": base(joined_back(where=" AND CAST(e.event_time AS DATE) IN (SELECT DISTINCT CAST(event_time AS DATE) FROM ods WHERE event_time IS NOT NULL ORDER BY 1 LIMIT 2)")),
         "o52_backfill": base(joined_back()),
+        "o52_backfill_overlap": with_(BASE + [EARLY], joined_back("ods_early")),
+        "o49_key_index": base("SELECT id, CAST(event_time AS DATE) AS event_date FROM ods"),
+        "o06_table_definitions": definitions_sql(),
     }
     # O-43: the second batch appended after the first day is deleted
     out["o43_replace_day"] = with_(BASE + [FEED2, f"stg2 AS ({STG_SELECT} FROM feed2)"],

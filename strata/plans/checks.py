@@ -56,15 +56,18 @@ _FK_DIMS = [("time_id", "dim_time"), ("location_id", "dim_location"), ("mag_type
 def broken_dim_links(star: Star) -> DataFrame:
     """Fact rows with a key that resolves to no dimension row (NULL keys count too).
 
-    Written as left joins, as the source check is: a duplicated dimension key would multiply rows.
+    Written as left joins, as the source check is: a duplicated dimension key would multiply rows. The fact is collapsed to
+    its different key tuples first, so tuples are joined, and a place that a third of the rows share weighs no more
+    than its tuples; their counts stand for the rows.
     """
-    f = star.fact.select(*FACT_KEYS)
+    f = star.fact.groupBy(*FACT_KEYS).agg(F.count(F.lit(1)).alias("__rows"))
     for key, dim in _FK_DIMS:
         d = getattr(star, dim).select(F.col(key).alias(f"__{key}"))
         if dim not in ("dim_time", "dim_location") and is_small(getattr(star, dim), SMALL_DIM_MAX_ROWS):
             d = F.broadcast(d)  # the two others grow with the events and are never broadcast
         f = f.join(d, F.col(key) == F.col(f"__{key}"), "left")
-    return f.where(any_null([f"__{k}" for k, _ in _FK_DIMS])).agg(F.count(F.lit(1)).alias("broken_dim_links"))
+    broken = f.where(any_null([f"__{k}" for k, _ in _FK_DIMS]))
+    return broken.agg(F.coalesce(F.sum("__rows"), F.lit(0)).cast("long").alias("broken_dim_links"))
 
 
 # Q-07 / Q-08 --------------------------------------------------------------------------------------

@@ -82,9 +82,13 @@ class Star:
     dim_network: DataFrame
     dim_status: DataFrame
     dim_event_type: DataFrame
+    agg: DataFrame | None = None  # maintained aggregates of the fact (partials.py), if there are any
 
     def dims(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "fact"}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("fact", "agg")}
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {"fact": self.fact, **self.dims()}
 
     def with_(self, **kw) -> "Star":
         return replace(self, **kw)

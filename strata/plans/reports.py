@@ -11,6 +11,7 @@ Scale notes
 * Small dimensions are broadcast behind a row-count check; ``dim_time`` and ``dim_location`` grow
   with the events and are joined by key shuffle.
 * A date bound filters ``event_date``, by which the fact is stored, so the scan is pruned.
+* Where the star has maintained aggregates (partials.py), R-01..R-06, R-08 and R-10..R-14 merge these instead of reading the fact.
 """
 
 from __future__ import annotations
@@ -18,15 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import (
-    depth_bucket, hundredths_to_decimal, iso_day_of_week, mag_bucket, round_half_away_div, to_day, week_start,
-)
+from strata.functions.columns import hundredths_to_decimal, iso_day_of_week, round_half_away_div, to_day, week_start
 from strata.operators.relational import (
     checked_broadcast, date_range_filter, moving_average_rows, top_k,
 )
 from strata.plans.model import SMALL_DIM_MAX_ROWS, Star
-
-MAG_SCALE = 2  # mag is decimal(5,2)
+from strata.plans.partials import parts_by
 
 
 def _small(dim: DataFrame, *cols: str) -> DataFrame:
@@ -34,12 +32,16 @@ def _small(dim: DataFrame, *cols: str) -> DataFrame:
     return checked_broadcast(dim, SMALL_DIM_MAX_ROWS, list(cols))
 
 
+def _with_date(star: Star, f: DataFrame) -> DataFrame:
+    return f.join(star.dim_time.select("time_id", to_day("event_time").alias("event_date")), "time_id")
+
+
 def _dated(star: Star, date_from=None, date_to=None) -> DataFrame:
     """Fact rows with a time key (in range) and their ``event_date``; a fact that doesn't carry the date gets
     it from the time dimension."""
     f = star.fact.where(F.col("time_id").isNotNull())
     if "event_date" not in f.columns:
-        f = f.join(star.dim_time.select("time_id", to_day("event_time").alias("event_date")), "time_id")
+        f = _with_date(star, f)
     if date_from is not None or date_to is not None:
         f = f.where(date_range_filter("event_date", date_from, date_to))
     return f
@@ -53,16 +55,15 @@ def _times(star: Star, date_from=None, date_to=None) -> DataFrame:
 
 
 # partial aggregates that survive a join (merged by sum / max afterwards)
-def _partials(with_mag: bool = True, with_max: bool = False, with_5plus: bool = False) -> list[Column]:
-    out = [F.count(F.lit(1)).alias("cnt")]
-    if with_mag:
-        out += [F.sum((F.col("mag") * F.lit(10 ** MAG_SCALE)).cast("long")).alias("mag_s"),
-                F.count("mag").alias("mag_n")]
-    if with_max:
-        out.append(F.max("mag").alias("mag_max"))
-    if with_5plus:
-        out.append(F.count_if(F.col("mag") >= 5).alias("mag5"))
-    return out
+def _parts(star: Star, family: str, by: list[str], date_from=None, date_to=None, where: Column | None = None, timed: bool = True) -> DataFrame:
+    """Parts per ``by`` of the fact rows in range: from the maintained aggregates if the star has them, else from the fact."""
+    fact = star.fact
+    if star.agg is None and "event_date" not in fact.columns:
+        fact = _with_date(star, fact) if timed else fact.withColumn("event_date", F.lit(None).cast("date"))
+    if date_from is not None or date_to is not None:
+        in_range = date_range_filter("event_date", date_from, date_to)
+        where = in_range if where is None else where & in_range
+    return parts_by(fact, star.agg, family, by, where, timed)
 
 
 def _merge(with_mag: bool = True, with_max: bool = False, with_5plus: bool = False) -> list[Column]:
@@ -84,8 +85,8 @@ def _avg_mag(df: DataFrame) -> DataFrame:
 
 # R-01 -------------------------------------------------------------------------------------------
 def daily_events(star: Star, date_from=None, date_to=None) -> DataFrame:
-    f = _dated(star, date_from, date_to)
-    return f.groupBy(F.col("event_date").alias("day")).agg(F.count(F.lit(1)).alias("events_cnt")).orderBy("day")
+    per = _parts(star, "day", ["event_date"], date_from, date_to)
+    return per.select(F.col("event_date").alias("day"), F.col("cnt").alias("events_cnt")).orderBy("day")
 
 
 # R-02 -------------------------------------------------------------------------------------------
@@ -98,7 +99,7 @@ def daily_events_ma7(star: Star, date_from=None, date_to=None) -> DataFrame:
 
 # R-03 -------------------------------------------------------------------------------------------
 def top_regions(star: Star, date_from=None, date_to=None, min_events: int = 10, k: int = 20) -> DataFrame:
-    per = _dated(star, date_from, date_to).groupBy("location_id").agg(*_partials())
+    per = _parts(star, "location", ["location_id"], date_from, date_to)
     loc = star.dim_location.select("location_id", "region_id")
     reg = _small(star.dim_region, "region_id", "region_name")
     g = per.join(loc, "location_id").join(reg, "region_id").groupBy("region_name").agg(*_merge())
@@ -109,20 +110,18 @@ def top_regions(star: Star, date_from=None, date_to=None, min_events: int = 10,
 
 # R-04 / R-05 --------------------------------------------------------------------------------------
 def magnitude_distribution(star: Star, date_from=None, date_to=None) -> DataFrame:
-    f = _dated(star, date_from, date_to).where(F.col("mag").isNotNull())
-    return (f.groupBy(mag_bucket("mag").alias("mag_bucket")).agg(F.count(F.lit(1)).alias("events_cnt"))
-            .orderBy("mag_bucket"))
+    per = _parts(star, "buckets", ["mag_bucket"], date_from, date_to, F.col("mag_bucket").isNotNull())
+    return per.select("mag_bucket", F.col("cnt").alias("events_cnt")).orderBy("mag_bucket")
 
 
 def depth_distribution(star: Star, date_from=None, date_to=None) -> DataFrame:
-    f = _dated(star, date_from, date_to).where(F.col("depth").isNotNull())
-    return (f.groupBy(depth_bucket("depth").alias("depth_bucket")).agg(F.count(F.lit(1)).alias("events_cnt"))
-            .orderBy("depth_bucket"))
+    per = _parts(star, "buckets", ["depth_bucket"], date_from, date_to, F.col("depth_bucket").isNotNull())
+    return per.select("depth_bucket", F.col("cnt").alias("events_cnt")).orderBy("depth_bucket")
 
 
 # R-06 -------------------------------------------------------------------------------------------
 def status_distribution(star: Star, date_from=None, date_to=None) -> DataFrame:
-    per = _dated(star, date_from, date_to).groupBy("status_id").agg(F.count(F.lit(1)).alias("cnt"))
+    per = _parts(star, "status", ["status_id"], date_from, date_to)
     j = per.join(_small(star.dim_status, "status_id", "status"), "status_id")
     return j.groupBy("status").agg(F.sum("cnt").alias("events_cnt")).orderBy(F.col("events_cnt").desc())
 
@@ -150,8 +149,10 @@ def _newest_days(rows: DataFrame, k: int) -> DataFrame:
 
 
 def _described(star: Star, rows: DataFrame) -> DataFrame:
-    return (rows.join(star.dim_time.select("time_id", "event_time"), "time_id")
-            .join(star.dim_location.select("location_id", "region_id", "place"), "location_id")
+    """Rows with their time, if they don't carry it yet, and their dimensions' attributes."""
+    if "event_time" not in rows.columns:
+        rows = rows.join(star.dim_time.select("time_id", "event_time"), "time_id")
+    return (rows.join(star.dim_location.select("location_id", "region_id", "place"), "location_id")
             .join(_small(star.dim_region, "region_id", "region_name"), "region_id")
             .join(_small(star.dim_network, "network_id", "net", "location_source"), "network_id")
             .join(_small(star.dim_status, "status_id", "status"), "status_id")
@@ -160,12 +161,16 @@ def _described(star: Star, rows: DataFrame) -> DataFrame:
 
 def _strong_events(star: Star, date_from, date_to, k: int) -> DataFrame:
     """Newest k strong events, in one query: a count of them per day says which days hold the newest k, and
-    only rows of these days are joined (on a fact stored by day the scan is pruned to them at run time).
-    Exact: rows of older days are older than any of these. The list of days has a row per day at most."""
+    only rows of these days are joined (on a fact stored by day the scan is pruned to them at run time), and only to times of
+    these days. The k rows of that are sent to the other dimensions, which are scanned where they lie. Exact: rows of
+    older days are older than any of these, and loads see to it that keys resolve. The list of days has a row per day at most."""
     rows = _strong_rows(star, date_from, date_to)
-    newest = rows.join(F.broadcast(_newest_days(rows, k)), "event_date", "left_semi")
+    days = F.broadcast(_newest_days(rows, k))
+    newest = rows.join(days, "event_date", "left_semi")
+    times = star.dim_time.select("time_id", "event_time", to_day("event_time").alias("event_date")).join(days, "event_date", "left_semi")
     order = [F.col("event_time").desc_nulls_first(), F.col("id").desc()]
-    return top_k(_described(star, newest), order, k).select(
+    top = F.broadcast(top_k(newest.join(times.select("time_id", "event_time"), "time_id"), order, k))  # k rows
+    return _described(star, top).orderBy(*order).select(
         F.col("event_time").cast("timestamp_ntz").alias("event_time"), *EVENT_COLUMNS[1:])
 
 
@@ -181,8 +186,7 @@ def recent_significant_events(star: Star, k: int = 200) -> DataFrame:
 def map_points(star: Star, date_from=None, date_to=None) -> DataFrame:
     """Per (lat, lon, region): count and average magnitude. Without bounds, rows without a time count too."""
     bounded = date_from is not None or date_to is not None
-    f = _dated(star, date_from, date_to) if bounded else star.fact
-    per = f.groupBy("location_id").agg(*_partials())
+    per = _parts(star, "location", ["location_id"], date_from, date_to, timed=bounded)
     loc = (star.dim_location.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
            .select("location_id", "region_id", "latitude", "longitude"))
     reg = _small(star.dim_region, "region_id", "region_name")
@@ -201,7 +205,7 @@ def heatmap_day_hour(star: Star, date_from=None, date_to=None) -> DataFrame:
 
 # R-10 -------------------------------------------------------------------------------------------
 def regions_intensity(star: Star, min_events: int = 10, k: int = 25) -> DataFrame:
-    per = star.fact.groupBy("location_id").agg(*_partials(with_max=True, with_5plus=True))
+    per = _parts(star, "location", ["location_id"], timed=False)
     loc = star.dim_location.select("location_id", "region_id")
     reg = _small(star.dim_region, "region_id", "region_name")
     g = (per.join(loc, "location_id").join(reg, "region_id").groupBy("region_name")
@@ -215,18 +219,18 @@ def regions_intensity(star: Star, min_events: int = 10, k: int = 25) -> DataFram
 
 # R-11 / R-12 --------------------------------------------------------------------------------------
 def daily_trend(star: Star) -> DataFrame:
-    days = _dated(star).groupBy(F.col("event_date").alias("day")).agg(*_partials())
-    return _avg_mag(days.withColumnRenamed("cnt", "events_cnt")).orderBy("day")
+    days = _parts(star, "day", ["event_date"])
+    return _avg_mag(days.select(F.col("event_date").alias("day"), F.col("cnt").alias("events_cnt"), "mag_s", "mag_n")).orderBy("day")
 
 
 def weekly_trend(star: Star) -> DataFrame:
-    weeks = _dated(star).groupBy(week_start("event_date").alias("week_start")).agg(*_partials())
-    return _avg_mag(weeks.withColumnRenamed("cnt", "events_cnt")).orderBy("week_start")
+    weeks = _parts(star, "day", ["event_date"]).groupBy(week_start("event_date").alias("week_start")).agg(*_merge())
+    return _avg_mag(weeks).orderBy("week_start")
 
 
 # R-13 -------------------------------------------------------------------------------------------
 def event_type_status(star: Star) -> DataFrame:
-    per = star.fact.groupBy("event_type_id", "status_id").agg(*_partials())
+    per = _parts(star, "status", ["event_type_id", "status_id"], timed=False)
     j = (per.join(_small(star.dim_event_type, "event_type_id", "event_type"), "event_type_id")
          .join(_small(star.dim_status, "status_id", "status"), "status_id"))
     g = _avg_mag(j.groupBy("event_type", "status").agg(*_merge()))
@@ -235,6 +239,6 @@ def event_type_status(star: Star) -> DataFrame:
 
 # R-14 -------------------------------------------------------------------------------------------
 def depth_vs_magnitude(star: Star) -> DataFrame:
-    f = star.fact.where(F.col("depth").isNotNull() & F.col("mag").isNotNull())
-    return (f.groupBy(depth_bucket("depth").alias("depth_bucket"), mag_bucket("mag").alias("mag_bucket"))
-            .agg(F.count(F.lit(1)).alias("events_cnt")).orderBy("depth_bucket", "mag_bucket"))
+    known = F.col("depth_bucket").isNotNull() & F.col("mag_bucket").isNotNull()
+    per = _parts(star, "buckets", ["depth_bucket", "mag_bucket"], where=known, timed=False)
+    return per.select("depth_bucket", "mag_bucket", F.col("cnt").alias("events_cnt")).orderBy("depth_bucket", "mag_bucket")

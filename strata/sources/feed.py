@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from strata.contracts import FEED_SCHEMA, Contract
 from strata.operators.relational import spread
+from strata.sources.tables import partition_filter
 
 RAW_PARTITION = "load_date"
 
@@ -72,6 +73,12 @@ def read_raw_day(spark: SparkSession, root: str, day: dt.date | str,
             .drop(RAW_PARTITION))
 
 
+def read_raw_days(spark: SparkSession, root: str, days: list, schema: T.StructType = FEED_SCHEMA) -> DataFrame:
+    """Read several days of the RAW layer in one scan, with ``load_date``; the list of days prunes to their folders."""
+    full = T.StructType(list(schema.fields) + [T.StructField(RAW_PARTITION, T.DateType(), True)])
+    return spark.read.schema(full).parquet(root).where(partition_filter(RAW_PARTITION, days))
+
+
 # O-04 -------------------------------------------------------------------------------------------
 def storage_schema(c: Contract) -> T.StructType:
     fields = list(c.schema.fields)
