@@ -22,6 +22,8 @@ sketches are made anew for those that met others.
 
 from __future__ import annotations
 
+from math import ceil
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,7 +36,7 @@ from strata.llm.components import connected
 
 WORDS, SHARE, SEED = 5, 80, 42  # words of a shingle, least similarity in hundredths
 SPARE = 0.25  # pieces beyond D + 1, as a share of them
-BITS_PER_SHINGLE, LEAST_BITS = 2, 512  # of the shorter sketches
+BITS_PER_SHINGLE, LEAST_BITS = 0.8, 128  # of the shorter sketches, at least
 BLOCK = 1024  # members of a group compared at once
 _SEEN, _OUT_BYTES = 1 << 19, 8 << 20
 
@@ -116,7 +118,7 @@ def keys_of(hashes: np.ndarray, share: int = SHARE) -> np.ndarray:
 
 def sketch_bits(size: int) -> int:
     """Bits of the shorter sketch of a set: a power of two."""
-    return max(LEAST_BITS, 1 << (BITS_PER_SHINGLE * size - 1).bit_length())
+    return max(LEAST_BITS, 1 << (ceil(BITS_PER_SHINGLE * size) - 1).bit_length())
 
 
 def sketch_of(hashes: np.ndarray) -> bytes:
