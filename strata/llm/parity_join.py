@@ -9,8 +9,10 @@ own may have, and cuts the sketch into n > D pieces, of which such a pair shares
 A set may then leave out n - D - 1 of its pieces, if every set leaves out by one order that depends on a piece alone: of the
 pieces that two sets share, the highest in that order stands above the n - D - 1 others, so neither leaves it out.
 Here the order is the number of odd bits, so empty and nearly empty pieces go, which would be alike in documents that
-have nothing else in common. A set keeps D + 1 pieces, where D is the greatest difference from any set it may link with in that
-band.
+have nothing else in common. A set keeps D + k pieces, where D is the greatest difference from any set it may link with in that
+band, and k, some more than one, belongs to the band. Then sets that link share k of the pieces they keep. A piece that very
+many sets have (of a common passage, say) is left by all sets with fewer than k such pieces: they meet those
+that they link with in another one.
 
 Documents that meet in a piece are candidates. All pairs of a group aren't needed, only what they connect. Groups with the same
 least member are put together, and each member travels once, however many pieces it shares. First each is compared
@@ -36,6 +38,7 @@ from strata.llm.components import connected
 
 WORDS, SHARE, SEED = 5, 80, 42  # words of a shingle, least similarity in hundredths
 SPARE = 0.25  # pieces beyond D + 1, as a share of them
+SHARED = 0.1  # kept pieces beyond D + 1, as a share of the greatest D + 1 of the band
 BITS_PER_SHINGLE, LEAST_BITS = 0.8, 128  # of the shorter sketches, at least
 BLOCK = 1024  # members of a group compared at once
 _SEEN, _OUT_BYTES = 1 << 19, 8 << 20
@@ -76,11 +79,22 @@ def pieces(least: int, beyond: int, share: int = SHARE) -> int:
     return most + 1 + max(1, int((most + 1) * SPARE))
 
 
+def shared_pieces(beyond: int, share: int = SHARE) -> int:
+    """How many of the pieces they keep two sets share at least that link in the band that ends before ``beyond``."""
+    most = greatest_difference(beyond - 1, (beyond - 1) * 100 // share, share)
+    return 1 + int((most + 1) * SHARED)
+
+
+def least_shared(size: int, share: int = SHARE) -> int:
+    """The same in both bands of a set of this size."""
+    return min(shared_pieces(beyond, share) for beyond in bands(size, share)[-2:])
+
+
 def kept_pieces(size: int, beyond: int, share: int = SHARE) -> int:
-    """How many of them a set of this size keeps: one more than its greatest difference from a set that it may link with there.
-    The smaller set of a pair has fewer than ``beyond`` shingles."""
+    """How many of them a set of this size keeps: its greatest difference from a set that it may link with there, and those
+    to be shared. The smaller set of a pair has fewer than ``beyond`` shingles."""
     other = size * 100 // share if size < beyond else beyond - 1
-    return greatest_difference(size, other, share) + 1
+    return greatest_difference(size, other, share) + shared_pieces(beyond, share)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -139,18 +153,19 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
 
 # -- sets ---------------------------------------------------------------------------------------------
 
-_SETS = "doc_id long, n long, sig binary, sid long, keys array<long>"
+_SETS = "doc_id long, n long, sig binary, sid long, shared long, keys array<long>"
+_MET = "leader long, sid long, hot boolean"
 _NODES = "sid long, n long, sketch binary, shingles binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "boolean": pa.bool_()}
     fields = [c.split() for c in schema.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
 
 def _prepared(words: int, share: int):
-    """Over (doc_id, text): a row of ``_SETS`` each; ``sid`` and ``keys`` where the task meets a set for the first time."""
+    """Over (doc_id, text): a row of ``_SETS`` each; ``sid``, ``shared`` and ``keys`` where the task meets a set for the first time."""
     def run(batches):
         part, made, seen = TaskContext.get().partitionId() << 33, 0, set()
         for batch in batches:
@@ -158,14 +173,14 @@ def _prepared(words: int, share: int):
             for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 h = shingles(text, words)
                 sig = xxhash.xxh128_digest(h.tobytes()) if len(h) else None
-                row = (doc, len(h), sig, None, None)
+                row = (doc, len(h), sig, None, None, None)
                 if len(h) and sig not in seen:
                     if len(seen) >= _SEEN:
                         seen.clear()  # a set may then be named again, which is harmless
                     seen.add(sig)
-                    row = (doc, len(h), sig, part + made, keys_of(h, share).view(np.int64))
+                    row = (doc, len(h), sig, part + made, least_shared(len(h), share), keys_of(h, share).view(np.int64))
                     made += 1
-                    held += len(row[4]) * 8
+                    held += len(row[5]) * 8
                 out.append(row)
                 if held > _OUT_BYTES:
                     yield _batch(out, _SETS)
@@ -203,27 +218,58 @@ def _again(words: int):
 
 # -- candidates ---------------------------------------------------------------------------------------
 
-def _groups(batches):
-    """Over rows sorted by (key, sid): (leader, sid) of the rows of keys that several sets have, but for the leader, the group's
-    least set; once a task, as far as it remembers."""
-    last, leader, seen = None, None, set()
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, sid = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-        new = np.r_[last is None or key[0] != last, key[1:] != key[:-1]]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))  # -1: the group goes on
-        least = np.where(start >= 0, sid[np.maximum(start, 0)], np.int64(leader or 0))
-        last, leader = key[-1], int(least[-1])
-        out = []
-        for pair in set(zip(least[~new].tolist(), sid[~new].tolist())):
-            if pair not in seen:
-                if len(seen) >= _SEEN:
-                    seen.clear()
-                seen.add(pair)
-                out.append(pair)
-        if out:
-            yield _batch(out, "leader long, sid long")
+def _groups(block: int):
+    """Over rows sorted by (key, sid): of keys that several sets have, up to ``block``: (leader, sid, False) of the rows but for
+    the leader, the group's least set; once a task, as far as it remembers. Of keys that more have: (key, sid, True) of
+    every row. Holds a group of up to ``block``."""
+    def run(batches):
+        seen, common = set(), None
+        key, sid = np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def found(key, sid):
+            start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            size = np.diff(np.r_[start, len(key)])
+            hot = np.repeat(size > block, size) | (False if common is None else key == common)
+            least = np.repeat(sid[start], size)
+            plain = ~hot & (least != sid)
+            out = []
+            for pair in set(zip(least[plain].tolist(), sid[plain].tolist())):
+                if pair not in seen:
+                    if len(seen) >= _SEEN:
+                        seen.clear()
+                    seen.add(pair)
+                    out.append((*pair, False))
+            out += zip(key[hot].tolist(), sid[hot].tolist(), [True] * int(hot.sum()))
+            if out:
+                yield _batch(out, _MET)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, sid = np.r_[key, np.asarray(batch.column(0))], np.r_[sid, np.asarray(batch.column(1))]
+            last = int(np.searchsorted(key, key[-1]))
+            end = len(key) if len(key) - last > block or key[-1] == common else last
+            if end:
+                yield from found(key[:end], sid[:end])
+            if end > last:
+                common = int(key[-1])
+            key, sid = key[end:], sid[end:]
+        if len(key):
+            yield from found(key, sid)
+
+    return run
+
+
+def _met(named: DataFrame, again: DataFrame, block: int) -> DataFrame:
+    """(leader, sid) of the sets that meet, each once."""
+    keyed = named.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
+    met = staged(keyed.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_groups(block), _MET), "parity-met")
+    common = met.where("hot").select(F.col("leader").alias("key"), "sid")
+    many = common.groupBy("sid").agg(F.count("*").alias("common")).join(named.select("sid", "shared"), "sid").where("common >= shared")
+    stays = staged(common.join(staged(many.select("sid"), "parity-many"), "sid", "left_semi"), "parity-common")
+    leaders = staged(stays.groupBy("key").agg(F.min("sid").alias("leader")), "parity-leaders")  # a row for ``block`` rows and more
+    led = stays.join(leaders, "key").where("sid <> leader").select("leader", "sid")
+    return met.where("NOT hot").select("leader", "sid").unionByName(led).distinct()
 
 
 def _numbered(block: int):
@@ -351,8 +397,7 @@ def _components(docs: DataFrame, rows: DataFrame, words: int, share: int, block:
     by_set = staged(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min("sid").alias("rep"), F.count("sid").alias("named"), F.min("doc_id").alias("least")),
                     "parity-sets")
     again = staged(named.select("sig", "sid").join(by_set.where("named > 1").select("sig", "rep"), "sig").where("sid <> rep").select("sid"), "parity-again")
-    keyed = named.select("sid", "keys").join(again, "sid", "left_anti").select(F.explode("keys").alias("key"), "sid")
-    met = keyed.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_groups, "leader long, sid long").distinct()
+    met = _met(named, again, block)
     members = staged(met.repartition("leader").sortWithinPartitions("leader", "sid").mapInArrow(_numbered(block), "leader long, sid long, block long"), "parity-members")
 
     used = members.select("sid").unionByName(members.select(F.col("leader").alias("sid"))).distinct()
@@ -393,8 +438,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     A text of fewer words is one shingle; null and blank texts have none and link with nothing, so their component is
     their own id. Repeated rows keep their rows; a null id becomes no component's id unless the component has no other.
-    Other columns are not read. An empty table gives an empty result. ``block``: members of a group compared at once; it
-    only changes how work is cut.
+    Other columns are not read. An empty table gives an empty result. ``block``: members of a group compared at once, and
+    sets beyond which a piece counts as common; it only changes how work is done.
     """
     if not 0 < share <= 100:
         raise ValueError("share is in hundredths, from 1 to 100")
