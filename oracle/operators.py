@@ -76,7 +76,7 @@ DIMS2 = [
     _new_rows("dim_status", "status_id", ["status"], f"SELECT DISTINCT {norm('status')} AS status FROM {_ROWS2}"),
     _new_rows("dim_event_type", "event_type_id", ["event_type"],
               f"SELECT DISTINCT {norm('event_type')} AS event_type FROM {_ROWS2}"),
-    f"fact2 AS ({fact_select('ods2', sfx='2')})",
+    f"fact2 AS ({fact_select('ods', 'ods2')})",
 ]
 
 
