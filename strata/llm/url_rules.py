@@ -85,14 +85,25 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int =
 
     Three kinds of larger sets can't become rules, as a smaller set within them is as confident, and FP-growth doesn't see
     them: those with a token that only bad pages have, with a token that every labelled page has, and with two tokens of
-    the same pages. Tokens of the same pages are mined as one and put back into the rules.
+    the same pages. Tokens of the same pages are mined as one and put back into the rules: each choice of one token of each
+    such class is a row here. ``judge`` leaves the classes whole (``_mined``).
     """
+    rules = _mined(labelled, min_support, min_count, min_confidence)
+    start = F.array(F.array().cast("array<string>"))
+    choices = F.aggregate("parts", start, lambda made, part: F.flatten(F.transform(made, lambda m: F.transform(part, lambda t: F.concat(m, F.array(t))))))
+    made = rules.select("rule", F.explode(choices).alias("tokens")).withColumn("tokens", F.sort_array("tokens"))
+    return staged(made.join(rules.drop("parts"), "rule").select("tokens", "n", "n_bad", "confidence"), "url-rules")
+
+
+def _mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
+           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(rule, parts, n, n_bad, confidence): the rules of ``mine``; a page meets a rule if it has a token of each of its parts."""
     kinds = labelled.where(F.size("tokens") > 0).groupBy(F.sort_array("tokens").alias("tokens")).agg(
         F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("n_bad"))
     kinds = staged(kinds.withColumn("row", F.monotonically_increasing_id()), "url-kinds")
     n_all, n_bad = kinds.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_bad"), F.lit(0))).first()
     if n_bad < min_count:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, n long, n_bad long, confidence double")
+        return labelled.sparkSession.createDataFrame([], "rule long, parts array<array<string>>, n long, n_bad long, confidence double")
     least = ceil(min(1.0, max(min_support, min_count / n_bad)) * n_bad)
     # tokens of the same pages by 128 bits over the kinds that have them
     marked = kinds.select(F.explode("tokens").alias("t"), "n", "n_bad", F.xxhash64("tokens").alias("x"), F.xxhash64(F.lit(1), "tokens").alias("y"))
@@ -119,13 +130,9 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int =
     within = by_token.join(smaller.withColumn("t", F.element_at("s_tokens", 1)), "t").where(
         (F.size("s_tokens") < F.size("tokens")) & (F.col("s_conf") >= F.col("confidence")) & (F.size(F.array_except("s_tokens", "tokens")) == 0))
     least_rules = staged(rules.join(within.select("tokens").distinct(), "tokens", "left_anti").withColumn("rule", F.monotonically_increasing_id()), "url-rules")
-    # each choice of one of the alike tokens is a rule
     parts = least_rules.select("rule", F.explode("tokens").alias("first")).join(alike.select("first", "members"), "first").groupBy("rule").agg(
         F.collect_list("members").alias("parts"))
-    start = F.array(F.array().cast("array<string>"))
-    choices = F.aggregate("parts", start, lambda made, part: F.flatten(F.transform(made, lambda m: F.transform(part, lambda t: F.concat(m, F.array(t))))))
-    made = parts.select("rule", F.explode(choices).alias("tokens")).withColumn("tokens", F.sort_array("tokens"))
-    return staged(made.join(least_rules.drop("tokens"), "rule").select("tokens", "n", "n_bad", "confidence"), "url-rules")
+    return staged(parts.join(least_rules.drop("tokens"), "rule").select("rule", "parts", "n", "n_bad", "confidence"), "url-rules")
 
 
 def _rarest(rules: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -162,13 +169,17 @@ def judge(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url: str
     known = labels.groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max(((F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1))).alias("bad"))
     labelled = staged(base.select("page_id", "tokens").join(known, "page_id").select("tokens", "bad"), "url-labelled")
-    rules = mine(labelled, **params)
-    index = _rarest(rules, labelled)
-    # pages of the same tokens are judged once
-    kinds = base.where("rule IS NULL AND size(tokens) > 0").select(F.sort_array("tokens").alias("tokens")).distinct().select(F.xxhash64("tokens").alias("row"), "tokens")
-    hit = _matches(kinds, index).join(index.select("rule", "confidence", F.col("tokens").alias("mined")), "rule")
-    best = hit.groupBy("row").agg(F.max(F.struct("confidence", "mined")).alias("best"))
-    judged = base.withColumn("row", F.when(F.col("rule").isNull(), F.xxhash64(F.sort_array("tokens")))).join(best, "row", "left")
+    rules = _mined(labelled, **params).withColumn("tokens", F.transform("parts", lambda p: F.array_min(p)))
+    # a rule is posted under every token of its rarest part
+    index = _rarest(rules, labelled).select("parts", "confidence", F.explode(F.filter("parts", lambda p: F.array_contains(p, F.col("post")))[0]).alias("post"))
+    # pages of the same tokens are judged once; those that a fixed rule decides are left out of the join
+    open_pages = base.where("rule IS NULL").withColumn("tokens", F.sort_array("tokens")).withColumn("row", F.xxhash64("tokens"))
+    kinds = open_pages.where("size(tokens) > 0").select("row", "tokens").distinct().select("*", F.explode("tokens").alias("post"))
+    hit = kinds.join(index, "post").where(F.forall("parts", lambda p: F.arrays_overlap(p, F.col("tokens"))))
+    mined = F.sort_array(F.transform("parts", lambda p: F.array_max(F.array_intersect(p, F.col("tokens")))))
+    best = staged(hit.select("row", "tokens", F.struct("confidence", mined.alias("mined")).alias("best")).groupBy("row", "tokens").agg(F.max("best").alias("best")), "url-best")
+    ruled = base.where("rule IS NOT NULL").select("page_id", "host", "path", "rule", F.lit(None).cast(best.schema["best"].dataType).alias("best"))
+    judged = open_pages.join(best, ["row", "tokens"], "left").select("page_id", "host", "path", "rule", "best").unionByName(ruled)
     verdict = F.lit(None).cast("string")
     for h, p, v in RULES:
         verdict = F.when(F.col("rule") == h + p, v).otherwise(verdict)
