@@ -41,6 +41,7 @@ SPARE = 0.25  # pieces beyond D + 1, as a share of them
 SHARED = 0.1  # kept pieces beyond D + 1, as a share of the greatest D + 1 of the band
 BITS_PER_SHINGLE, LEAST_BITS = 0.8, 128  # of the shorter sketches, at least
 BLOCK = 1024  # members of a group compared at once
+SENT = 2_000_000  # rows (id, signature, number) of documents wanted again that are sent to all nodes; if more, the join shuffles
 _SEEN, _OUT_BYTES = 1 << 19, 8 << 20
 
 
@@ -402,9 +403,11 @@ def _components(docs: DataFrame, rows: DataFrame, words: int, share: int, block:
 
     used = members.select("sid").unionByName(members.select(F.col("leader").alias("sid"))).distinct()
     wanted = staged(by_set.join(used, by_set.rep == F.col("sid")).select(F.col("least").alias("w_id"), "sig", "sid"), "parity-wanted")
-    made = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id"))).select("text", "sig", "sid").mapInArrow(_again(words), _NODES)
-    nodes = staged(made, "parity-nodes")
-    if nodes.count() > wanted.count():  # repeated rows in several tasks
+    asked = wanted.count()
+    nameless = F.lit(-(1 << 63)).cast("long")  # a real id of this value is told apart by its signature
+    found = docs.join(F.broadcast(wanted) if asked <= SENT else wanted, F.coalesce("doc_id", nameless) == F.coalesce("w_id", nameless))
+    nodes = staged(found.select("text", "sig", "sid").mapInArrow(_again(words), _NODES), "parity-nodes")
+    if nodes.count() > asked:  # repeated rows in several tasks
         nodes = staged(nodes.dropDuplicates(["sid"]), "parity-nodes")
 
     close = _led(members, nodes, "sketch", _near, share, "parity-near")
