@@ -45,10 +45,18 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType = FEED_SCHEMA
     return spread(feed_reader(spark, schema).csv(path))
 
 
+#: Rows of a landed file at most: one task reads a file, as it can't be split.
+LANDED_ROWS = 100_000
+
+
 def write_feed(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Write a feed DataFrame as CSV in the shape ``read_feed`` reads (used to land test files):
-    NULL as an unquoted empty field, '' as \"\", spaces kept."""
+    NULL as an unquoted empty field, '' as \"\", spaces kept. Rows are gathered by ``partition_by`` first, and files are
+    bounded in rows."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     w = (df.write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+         .option("maxRecordsPerFile", LANDED_ROWS)
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         w = w.partitionBy(*partition_by)
