@@ -32,8 +32,9 @@ from pyspark.sql import functions as F
 from strata import contracts as C
 from strata.functions.columns import to_day
 from strata.operators.maintain import (
-    assert_not_null, assert_unique, materialize, merge_versions, reliable_checkpoint, replace_day, replace_days, upsert,
+    assert_not_null, assert_unique, materialize, merge_versions, replace_day, replace_days, upsert,
 )
+from strata.operators.relational import KEY_BROADCAST_MAX_ROWS, checked_broadcast
 from strata.operators.validate import assert_valid, validate, validate_rows
 from strata.plans.model import (
     DIMENSION_ORDER, FACT_UPDATE_COLUMNS, Star, dimension_rows, fact_rows, stamp, stg_from_feed,
@@ -130,7 +131,7 @@ def load_stg(spark: SparkSession, wh: Warehouse, day: dt.date | str, now: dt.dat
     d = _day(day)
     batch = (stg_from_feed(read_raw_day(spark, wh.raw, d), now)
              .withColumn(C.STG.partition_by, F.col("time").try_cast("date")))
-    batch = reliable_checkpoint(batch)  # read once; the day's file may be re-landed meanwhile
+    batch = materialize(batch, "batch")  # read once; the day's file may be re-landed meanwhile
     part = C.STG.partition_by
     # one job: is there a row with an id, and which dates does the file hold (a handful of values)
     stats = batch.agg(F.count("id").alias("n"), F.collect_set(F.coalesce(F.col(part).cast("string"), F.lit("")))
@@ -159,7 +160,7 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
     stg = wh.read_stg(spark) if rows is None else rows
     if days is not None:
         stg = stg.where(partition_filter(C.STG.partition_by, [None if x is None else _day(x) for x in days]))
-    batch = reliable_checkpoint(stg.drop(C.STG.partition_by))
+    batch = materialize(stg.drop(C.STG.partition_by), "batch")
     part = C.ODS.partition_by
     ods = wh.read_ods(spark, keep_partition=True)
     ids = batch.select("id").where(F.col("id").isNotNull())
@@ -167,7 +168,7 @@ def load_ods(spark: SparkSession, wh: Warehouse, now: dt.datetime | None = None,
     has_rows = has_partitions(spark, wh.ods, part)
     index.ensure(spark, ods.select("id", part) if has_rows else None)
     if has_rows:
-        known = reliable_checkpoint(index.lookup(ids))
+        known = materialize(index.lookup(ids), "known")
         known_days = distinct_values(known, part)
     new_days = distinct_values(batch.select(to_day(F.col("time").try_cast("timestamp")).alias(part)), part)
     affected = sorted(set(known_days) | set(new_days), key=lambda v: (v is not None, v))
@@ -330,8 +331,8 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
     # STG: all files at once, with the outcome of the sequential delete-then-append
     raw = read_raw_days(spark, wh.raw, ds)
     part = C.STG.partition_by
-    batch = reliable_checkpoint(stg_from_feed(raw, now, extra=[RAW_PARTITION])
-                                .withColumn(part, F.col("time").try_cast("date")))
+    batch = materialize(stg_from_feed(raw, now, extra=[RAW_PARTITION])
+                        .withColumn(part, F.col("time").try_cast("date")), "batch")
     live = distinct_values(batch.where(F.col("id").isNotNull()), RAW_PARTITION)  # non-empty files
     affected = sorted(set(distinct_values(batch, part)) | set(live), key=lambda v: (v is not None, v))
     versions = batch.where(partition_filter(RAW_PARTITION, live))
@@ -346,10 +347,12 @@ def backfill(spark: SparkSession, wh: Warehouse, landing: str, days: list, now:
                            done={"unit": unit, "step": "stg", "inputs": inputs, "detail": {"touched": touched}})
     # as upserting a day's partitions does: an id that stands in STG twice fails before ODS is touched
     assert_unique(wh.read_stg(spark).where(partition_filter(part, affected)), ["id"], C.STG.name)
+    # (id, file) of the versions in files after the day their event has by its first file: found among narrow rows
     home = versions.groupBy("id").agg(F.min_by(part, RAW_PARTITION).alias("__home"))
-    versions = reliable_checkpoint(versions.join(home, "id").withColumn("__late", F.coalesce(F.col(RAW_PARTITION) > F.col("__home"), F.lit(False))))
+    later = versions.select("id", RAW_PARTITION).join(home, "id").where(F.col(RAW_PARTITION) > F.col("__home")).drop("__home")
+    later = checked_broadcast(materialize(later, "late"), KEY_BROADCAST_MAX_ROWS)
     for step, late in (("ods", False), ("late", True)):
-        some = versions.where(F.col("__late") == late).drop("__home", "__late", part)
+        some = versions.join(later, ["id", RAW_PARTITION], "left_semi" if late else "left_anti").drop(part).select(*[c for c in versions.columns if c != part])
         done = {"unit": unit, "step": step, "inputs": inputs}
         if not finished(step, inputs):
             if not late or some.limit(1).count():

@@ -103,7 +103,7 @@ def read_layer(spark: SparkSession, path: str, c: Contract, keep_partition: bool
     except AnalysisException as exc:  # path does not exist yet: first load
         if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
             raise
-        df = spark.createDataFrame([], schema)
+        df = spark.createDataFrame([], schema).where(F.lit(False))  # known to be empty when joins with it are planned
     return df if keep_partition or not c.partition_by else df.drop(c.partition_by)
 
 
